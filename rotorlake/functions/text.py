@@ -14,13 +14,13 @@ def missing_to_null(col: Column) -> Column:
 
 
 def to_number(col: Column, kind: str = "double") -> Column:
-    """Typed value, null for a missing marker, a bad number or NaN."""
-    number = missing_to_null(col).try_cast(kind)
+    """Typed value, null for a missing marker (none of them is a number), a bad number or NaN."""
+    number = col.try_cast(kind)
     return nan_to_null(number) if kind == "double" else number
 
 
 def nan_to_null(col: Column) -> Column:
-    return F.when(~F.isnan(col), col)
+    return F.nanvl(col, F.lit(None).cast("double"))
 
 
 def pick(names: Column, values: Column, name: str) -> Column:

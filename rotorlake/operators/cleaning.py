@@ -38,10 +38,12 @@ def parse_kv(df: DataFrame, col: str = "all_key_value") -> DataFrame:
     keep = [c for c in df.columns if c != col]
     names, values = kv_pairs(F.col(col))
     parsed = df.where(is_valid_kv(F.col(col))).select(*keep, names.alias("_names"), values.alias("_values"))
+    # Texts first, types after: a text that is looked at several times is picked once.
+    texts = parsed.select(*keep, *[pick(F.col("_names"), F.col("_values"), p).alias("_" + p) for p in MINUTE_POINTS])
 
     out = []
     for point, column in MINUTE_POINTS.items():
-        text = pick(F.col("_names"), F.col("_values"), point)
+        text = F.col("_" + point)
         kind = MINUTE_WAREHOUSE[column].dataType
         if point == "occur_time":
             epoch, date = local_text_to_epoch(missing_to_null(text))
@@ -52,7 +54,7 @@ def parse_kv(df: DataFrame, col: str = "all_key_value") -> DataFrame:
             out.append(missing_to_null(text).alias(column))
         else:
             out.append(to_number(text, kind.simpleString()).alias(column))
-    return parsed.select(*keep, *out)
+    return texts.select(*keep, *out)
 
 
 def kv_rejects(df: DataFrame, col: str = "all_key_value") -> DataFrame:

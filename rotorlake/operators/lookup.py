@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rotorlake.operators.joins import MAX_BROADCAST_BYTES, SALTS, fits_broadcast, row_salt
+from rotorlake.operators.joins import MAX_BROADCAST_BYTES, SALTS, fits_broadcast, row_salt, salted_join
 
 BUCKETS = 64
 
@@ -37,22 +37,34 @@ def asof_lookup(
     rank: str,
     out: str = "below",
     above: str | None = None,
+    known: str | None = None,
+    fits: bool | None = None,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add struct ``out``: the point of the row's key with the greatest ``rank`` <= ``value``, null if none.
 
-    With ``above`` also add the point with the least ``rank`` > ``value``. ``points`` holds one row per
-    (key, rank). All rows of ``df`` stay. A small point table goes out as one sorted array per key; a
-    larger one is matched by ``asof_merge``.
+    With ``above`` also add the point with the least ``rank`` > ``value``, with ``known`` whether the key
+    has any point. ``points`` holds one row per (key, rank). All rows of ``df`` stay. A small point table
+    goes out as one sorted array per key; a larger one is matched by ``asof_merge``. ``fits`` tells that
+    the size was measured already.
     """
     points = points.where(F.col(rank).isNotNull())
-    if not fits_broadcast(points, max_bytes):
+    if fits is None:
+        fits = fits_broadcast(points, max_bytes)
+    if not fits:
         df = asof_merge(df, points, key, value, rank, out)
-        return asof_merge(df, points, key, value, rank, above, upward=True) if above else df
+        if above:
+            df = asof_merge(df, points, key, value, rank, above, upward=True)
+        if known:
+            keys = points.select(key).distinct().withColumn(known, F.lit(True))
+            df = salted_join(df, keys, [key], "left").withColumn(known, F.coalesce(known, F.lit(False)))
+        return df
     looked = df.join(F.broadcast(_knot_arrays(points, key, rank)), key, "left")
     found = {out: _below(F.col("_knots"), rank, F.col(value))}
     if above:
         found[above] = _above(F.col("_knots"), rank, F.col(value))
+    if known:
+        found[known] = F.col("_knots").isNotNull()
     return looked.withColumns(found).drop("_knots")
 
 

@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 from rotorlake.functions.text import to_number
 from rotorlake.operators.cleaning import remap_ids
 from rotorlake.operators.joins import lookup_join
-from rotorlake.schemas import STANDARD_POINTS, column_name
+from rotorlake.schemas import STANDARD_COMMON, STANDARD_POINTS, column_name
 
 HEAD = 4  # protocol, turbine, time, version
 
 
 def protocol_layout(fields: DataFrame) -> DataFrame:
-    """One row per protocol: field count, place of every standard point, and the other fields.
+    """One row per protocol: field count, place of every standard point in a split line, and the other fields.
 
     ``fields`` is the point list of the protocols: (protocol_id, pos, field_desc, field_alias), pos from
     0. If an alias occurs twice the later field wins.
@@ -27,7 +27,7 @@ def protocol_layout(fields: DataFrame) -> DataFrame:
     )
     places = F.transform(
         F.sequence(F.lit(1), F.lit(len(STANDARD_POINTS))),
-        lambda s: F.try_element_at(F.filter("f", lambda x: x["slot"] == s), F.lit(-1))["pos"],
+        lambda s: F.try_element_at(F.filter("f", lambda x: x["slot"] == s), F.lit(-1))["pos"] + F.lit(HEAD),
     )
     others = F.filter("f", lambda x: x["slot"] == 0)
     return grouped.select("protocol_id", "width", places.alias("places"), others.alias("others"))
@@ -69,21 +69,21 @@ def standard_mapping(
     else:
         good = matched.where(_is_good())
     reserved = F.array_join(
-        F.transform("others", lambda o: F.concat(o["field_desc"], F.lit("="), F.get("_values", o["pos"]))), ";"
-    )
-    points = [
-        to_number(F.get("_values", F.get("places", i))).alias(column_name(alias))
-        for i, alias in enumerate(STANDARD_POINTS)
-    ]
-    placed = good.withColumn("_values", F.slice("_all", HEAD + 1, F.size("_all"))).select(
-        *keep,
-        reserved.alias("COMMON_Reserved"),
-        F.col("protocol_id").alias("COMMON_ProtocolID"),
-        F.get("_all", 1).alias("COMMON_WTGID"),
-        F.get("_all", 2).alias("COMMON_DateTime"),
-        F.get("_all", 3).alias("COMMON_Version"),
-        *points,
+        F.transform("others", lambda o: F.concat(o["field_desc"], F.lit("="), F.get("_all", o["pos"] + F.lit(HEAD)))), ";"
     )
+    numbers = F.transform("places", lambda p: to_number(F.get("_all", p)))
+    # element_at, unlike [], keeps the optimizer from copying the array expression into every column.
+    points = [f"element_at(_points, {i}) as {column_name(a)}" for i, a in enumerate(STANDARD_POINTS, 1)]
+    placed = good.withColumns(
+        {
+            "_points": numbers,
+            "COMMON_Reserved": reserved,
+            "COMMON_ProtocolID": F.col("protocol_id"),
+            "COMMON_WTGID": F.get("_all", 1),
+            "COMMON_DateTime": F.get("_all", 2),
+            "COMMON_Version": F.get("_all", 3),
+        }
+    ).selectExpr(*keep, *[column_name(c) for c in STANDARD_COMMON], *points)
     return remap_ids(placed, master, "COMMON_WTGID", "wtg_id", "master_id", keep_unmapped=True)
 
 

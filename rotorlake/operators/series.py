@@ -87,6 +87,16 @@ def fill_grid(
     return filled.select(key, "day", F.col("_mark").alias(ts), *values, "is_filled")
 
 
+def spread_groups(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by ``keys`` into the session's shuffle partitions, a number that stays.
+
+    Rows that are about to be expanded some hundredfold look tiny to the adaptive planner, which would
+    join them into one task.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *keys)
+
+
 def add_previous(df: DataFrame, key: str, ts: str, cols: list[str], prefix: str = "previous_") -> DataFrame:
     """Value of the row before within the (key, day) group, which starts with the carried row."""
     window = Window.partitionBy(key, "day").orderBy(ts)
@@ -175,9 +185,9 @@ def state_intervals(logs: dict[str, DataFrame], roster: DataFrame, key: str = "w
     group = Window.partitionBy(key, "day").orderBy("start_time", F.col("_opens").desc())
     so_far = group.rowsBetween(Window.unboundedPreceding, 0)
     end_of_day = calendar.shift(F.col("day").cast("timestamp_ntz"), DAY + 1)
+    # The window below takes this partitioning over.
     return (
-        changes.withColumn("_opens", F.lit(False))
-        .unionByName(opening)
+        spread_groups(changes.withColumn("_opens", F.lit(False)).unionByName(opening), key, "day")
         .withColumns(
             {
                 "_covered": F.first("_opens").over(so_far),
@@ -219,7 +229,8 @@ def split_energy(df: DataFrame, cols: dict[str, str], step: int = STEP, digits:
 def spread_energy(df: DataFrame, ts: str, cols: dict[str, str], step: int = STEP, digits: int = 5) -> DataFrame:
     """Every second of ``(mark - step, mark]`` takes the mark's row; energies are split, the rest on the mark."""
     seconds = F.sequence(calendar.shift(F.col("_mark"), 1 - step), F.col("_mark"), F.expr("interval '1' second"))
-    spread = split_energy(df, cols, step, digits).withColumnRenamed(ts, "_mark").withColumn(ts, F.explode(seconds))
+    marks = split_energy(spread_groups(df, ts), cols, step, digits).withColumnRenamed(ts, "_mark")
+    spread = marks.withColumn(ts, F.explode(seconds))
     on_mark = F.col(ts) == F.col("_mark")
     shares = {n: F.when(on_mark, F.col(n + "_last")).otherwise(F.col(n)) for n in cols.values()}
     return spread.withColumns(shares).drop("_mark", *[n + "_last" for n in cols.values()])

@@ -24,8 +24,7 @@ def staging(clean: DataFrame, turbines: DataFrame, types: DataFrame, columns: li
     chosen = turbines.where(F.col("site_type").isin(*SITE_TYPES)).select("wtg_id", "wtg_type_id")
     named = types.select("wtg_type_id", "wtg_type_name", "rated_power")
     # The two dimensions are joined first: the fact meets one small table.
-    dim = lookup_join(chosen, named, "wtg_type_id")
-    joined = lookup_join(clean, dim, "wtg_id")
+    joined = lookup_join(clean, chosen.join(named, "wtg_type_id"), "wtg_id")
     return joined.select(*(columns or FEATURE_STAGING.names))
 
 

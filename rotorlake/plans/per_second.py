@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rotorlake.functions import calendar, physics
-from rotorlake.operators.series import DAY, STEP, expand_seconds, pad_states, split_energy, state_intervals
+from rotorlake.operators.series import DAY, STEP, expand_seconds, pad_states, split_energy, spread_groups, state_intervals
 
 # 10-minute energies and the names of their shares per second.
 ENERGIES = {
@@ -56,7 +56,7 @@ def production_base(calculated: DataFrame, logs: dict[str, DataFrame]) -> DataFr
     end_of_day = calendar.shift(F.col("day").cast("timestamp_ntz"), DAY + 1)
     held_energy, held_state = (F.last(c, ignorenulls=True).over(so_far) for c in ("_energy", "_state"))
     merged = (
-        energy.unionByName(state, allowMissingColumns=True)
+        spread_groups(energy.unionByName(state, allowMissingColumns=True), "wtg_id", "day")
         .withColumns({"end_time": F.coalesce(F.lead("start_time").over(group), end_of_day), "_e": held_energy, "_s": held_state})
         .where("end_time > start_time")
         .withColumns({"_e": F.when(F.col("_e._mark") >= cut, F.col("_e")), "_s": F.when(F.col("_s.end_time") > cut, F.col("_s"))})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rotorlake.functions import bits, physics
 from rotorlake.operators.cleaning import convert_units, remap_ids
-from rotorlake.operators.joins import lookup_join
+from rotorlake.operators.joins import fits_broadcast, lookup_join
 from rotorlake.operators.lookup import asof_lookup
 from rotorlake.operators.quality import quality_flags, real_energy
 from rotorlake.operators.series import fill_grid, last_per
@@ -50,12 +50,9 @@ CLEAN_COLUMNS = ["wtg_id", "datatime", *TEN_MINUTE_MEASURES, "clean_flag"]
 
 def with_site(clean_rows: DataFrame, turbines: DataFrame, sites: DataFrame, how: str = "inner") -> DataFrame:
     """Add the turbine's heights, transfer function and site density."""
-    dim = lookup_join(
-        turbines.select("wtg_id", "site_id", "altitude", "hub_height", "scada_ntf_id"),
-        sites.select("site_id", F.col("air_density").alias("site_air_density")),
-        "site_id",
-    ).drop("site_id")
-    return lookup_join(clean_rows, dim, "wtg_id", how)
+    heights = turbines.select("wtg_id", "site_id", "altitude", "hub_height", "scada_ntf_id")
+    densities = sites.select("site_id", F.col("air_density").alias("site_air_density"))
+    return lookup_join(clean_rows, heights.join(densities, "site_id").drop("site_id"), "wtg_id", how)
 
 
 def transfer_speeds(sited: DataFrame, ntf: DataFrame) -> DataFrame:
@@ -64,13 +61,11 @@ def transfer_speeds(sited: DataFrame, ntf: DataFrame) -> DataFrame:
     Null if rotor or wind speed is flagged or no row is low enough.
     """
     points = ntf.select(F.col("ntf_id").alias("scada_ntf_id"), "rotor_speed", "a", "b", "c")
-    known = points.select("scada_ntf_id", F.lit(True).alias("has_ntf")).distinct()
-    looked = asof_lookup(sited, points, "scada_ntf_id", "rotorspdave", "rotor_speed", "_ntf")
+    looked = asof_lookup(sited, points, "scada_ntf_id", "rotorspdave", "rotor_speed", "_ntf", known="has_ntf")
     flag = F.col("clean_flag")
     usable = bits.is_normal(flag, "rotorspdave") & bits.is_normal(flag, "windspeedave")
     speed = physics.transfer_speed(F.col("windspeedave"), F.col("_ntf.a"), F.col("_ntf.b"), F.col("_ntf.c"))
-    marked = lookup_join(looked, known, "scada_ntf_id", "left")
-    return marked.withColumn("ntf_wind_speed", F.when(usable, speed)).drop("_ntf")
+    return looked.withColumn("ntf_wind_speed", F.when(usable, speed)).drop("_ntf")
 
 
 def corrected_speeds(df: DataFrame, kelvin_input: bool = False) -> DataFrame:
@@ -93,13 +88,13 @@ def corrected_speeds(df: DataFrame, kelvin_input: bool = False) -> DataFrame:
 
 def curve_points(assignment: DataFrame, points: DataFrame) -> DataFrame:
     """Curve assignment with the curve's points: (wtg_id, pc_type, wind_speed_rank, power)."""
-    return lookup_join(points, assignment, "pc_id").select("wtg_id", "pc_type", "wind_speed_rank", "power")
+    return points.join(assignment, "pc_id").select("wtg_id", "pc_type", "wind_speed_rank", "power")
 
 
-def predicted_power(df: DataFrame, curves: DataFrame, pc_type: int, prefix: str) -> DataFrame:
+def predicted_power(df: DataFrame, curves: DataFrame, pc_type: int, prefix: str, fits: bool | None = None) -> DataFrame:
     """Power between the two curve points around the standard speed, energy of 10 minutes; null outside the curve."""
     points = curves.where(F.col("pc_type") == pc_type).select("wtg_id", "wind_speed_rank", "power")
-    looked = asof_lookup(df, points, "wtg_id", "ntf_wind_speed_standard", "wind_speed_rank", "_lo", "_hi")
+    looked = asof_lookup(df, points, "wtg_id", "ntf_wind_speed_standard", "wind_speed_rank", "_lo", "_hi", fits=fits)
     power = physics.interpolate(
         F.col("_lo.wind_speed_rank"),
         F.col("_lo.power"),
@@ -119,7 +114,8 @@ def calculate(
     speeds = corrected_speeds(transfer_speeds(with_site(clean_rows, turbines, sites, "left"), ntf))
     energy = without_carry(real_energy(speeds))
     curves = curve_points(assignment, points)
-    theory = predicted_power(energy, curves, CONTRACT_CURVE, "theory")
-    return predicted_power(theory, curves, ACTUAL_CURVE, "active").drop(
+    fits = fits_broadcast(curves)
+    theory = predicted_power(energy, curves, CONTRACT_CURVE, "theory", fits)
+    return predicted_power(theory, curves, ACTUAL_CURVE, "active", fits).drop(
         "altitude", "hub_height", "scada_ntf_id", "site_air_density", "has_ntf", "is_filled"
     )

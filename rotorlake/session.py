@@ -22,6 +22,10 @@ def local_session(app: str = "rotorlake", cores: str = "8", memory: str = "12g")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.files.maxPartitionBytes", "256m")
         .config("spark.driver.memory", memory)
+        # The JVM does not compile methods above 8000 bytes; beyond that split projections are faster.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        # Saves a stack walk per column call; plans here have some hundred.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

@@ -50,7 +50,7 @@ def _second_of_day():
 
 def _e5(col: str):
     """Energy with five decimals as a whole number, so that sums are exact."""
-    return F.round(F.col(col) * 100000).cast("long")
+    return F.rint(F.col(col) * 100000).cast("long")
 
 
 # --- shared steps -------------------------------------------------------------------------------
@@ -312,7 +312,7 @@ def production_base(spark, sf):
         F.count(F.lit(1)).alias("seconds"),
         F.sum(_second_of_day()).alias("second_sum"),
         F.count("temoutave").alias("temperature_seconds"),
-        F.sum(F.round(F.col("temoutave")).cast("long")).alias("temperature_sum"),
+        F.sum(F.rint("temoutave").cast("long")).alias("temperature_sum"),
         *[F.sum(_e5(n)).alias(n + "_e5") for n in per_second.ENERGIES.values()],
     )
 

@@ -10,7 +10,18 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-TABLES = ["region", "nation", "supplier", "part", "orders", "lineitem", "events"]
+# Schemas are given, so that opening a table starts no job.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+    "o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 BASE = "$ts '2024-01-01 00:00:00'"
 DBL = "as double)"
 
@@ -153,7 +164,7 @@ def _needs(sql: str) -> list[str]:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
     sql = VIEWS[name].replace("$ts", "timestamp_ntz")
     return spark.sql(sql, **{need: view(spark, sf_dir, need) for need in _needs(sql)})
 
