@@ -24,9 +24,40 @@ def _above(knots: Column, rank: str, value: Column) -> Column:
     return F.get(F.filter(knots, lambda k: k[rank] > value), 0)
 
 
-def _knot_arrays(points: DataFrame, key: str, rank: str) -> DataFrame:
+def _knot_arrays(points: DataFrame, key: str, rank: str, sets: dict[str, Column]) -> DataFrame:
     rest = [c for c in points.columns if c not in (key, rank)]
-    return points.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(rank, *rest))).alias("_knots"))
+    knot = F.struct(rank, *rest)
+    arrays = [F.array_sort(F.collect_list(F.when(chosen, knot))).alias("_knots" + name) for name, chosen in sets.items()]
+    return points.groupBy(key).agg(*arrays)
+
+
+def bracket_sets(
+    df: DataFrame,
+    points: DataFrame,
+    key: str,
+    value: str,
+    rank: str,
+    sets: dict[str, Column],
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> DataFrame:
+    """For each named subset of the points add ``<name>_lo`` and ``<name>_hi``, the knots around the value.
+
+    All subsets share one pass over the points and, if these are few, one broadcast.
+    """
+    points = points.where(F.col(rank).isNotNull())
+    if fits_broadcast(points, max_bytes):
+        looked = df.join(F.broadcast(_knot_arrays(points, key, rank, sets)), key, "left")
+        found = {}
+        for name in sets:
+            knots = F.col("_knots" + name)
+            found[name + "_lo"] = _below(knots, rank, F.col(value))
+            found[name + "_hi"] = _above(knots, rank, F.col(value))
+        return looked.withColumns(found).drop(*["_knots" + name for name in sets])
+    for name, chosen in sets.items():
+        one = points.where(chosen)
+        df = asof_merge(df, one, key, value, rank, name + "_lo")
+        df = asof_merge(df, one, key, value, rank, name + "_hi", upward=True)
+    return df
 
 
 def asof_lookup(
@@ -38,20 +69,16 @@ def asof_lookup(
     out: str = "below",
     above: str | None = None,
     known: str | None = None,
-    fits: bool | None = None,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add struct ``out``: the point of the row's key with the greatest ``rank`` <= ``value``, null if none.
 
     With ``above`` also add the point with the least ``rank`` > ``value``, with ``known`` whether the key
     has any point. ``points`` holds one row per (key, rank). All rows of ``df`` stay. A small point table
-    goes out as one sorted array per key; a larger one is matched by ``asof_merge``. ``fits`` tells that
-    the size was measured already.
+    goes out as one sorted array per key; a larger one is matched by ``asof_merge``.
     """
     points = points.where(F.col(rank).isNotNull())
-    if fits is None:
-        fits = fits_broadcast(points, max_bytes)
-    if not fits:
+    if not fits_broadcast(points, max_bytes):
         df = asof_merge(df, points, key, value, rank, out)
         if above:
             df = asof_merge(df, points, key, value, rank, above, upward=True)
@@ -59,7 +86,7 @@ def asof_lookup(
             keys = points.select(key).distinct().withColumn(known, F.lit(True))
             df = salted_join(df, keys, [key], "left").withColumn(known, F.coalesce(known, F.lit(False)))
         return df
-    looked = df.join(F.broadcast(_knot_arrays(points, key, rank)), key, "left")
+    looked = df.join(F.broadcast(_knot_arrays(points, key, rank, {"": F.lit(True)})), key, "left")
     found = {out: _below(F.col("_knots"), rank, F.col(value))}
     if above:
         found[above] = _above(F.col("_knots"), rank, F.col(value))

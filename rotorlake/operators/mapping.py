@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rotorlake.functions.text import to_number
 from rotorlake.operators.cleaning import remap_ids
 from rotorlake.operators.joins import lookup_join
 from rotorlake.schemas import STANDARD_COMMON, STANDARD_POINTS, column_name
@@ -71,12 +70,12 @@ def standard_mapping(
     reserved = F.array_join(
         F.transform("others", lambda o: F.concat(o["field_desc"], F.lit("="), F.get("_all", o["pos"] + F.lit(HEAD)))), ";"
     )
-    numbers = F.transform("places", lambda p: to_number(F.get("_all", p)))
-    # element_at, unlike [], keeps the optimizer from copying the array expression into every column.
-    points = [f"element_at(_points, {i}) as {column_name(a)}" for i, a in enumerate(STANDARD_POINTS, 1)]
+    points = [
+        f"nanvl(try_cast(get(_all, get(places, {i})) as double), null) as {column_name(alias)}"
+        for i, alias in enumerate(STANDARD_POINTS)
+    ]
     placed = good.withColumns(
         {
-            "_points": numbers,
             "COMMON_Reserved": reserved,
             "COMMON_ProtocolID": F.col("protocol_id"),
             "COMMON_WTGID": F.get("_all", 1),

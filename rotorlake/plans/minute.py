@@ -46,7 +46,8 @@ def ideal_power(
     )
     speed = F.col(speed_col)
     low, high = physics.grid_neighbours(speed, STEP)
-    if fits_broadcast(points, max_bytes):
+    # The rows before de-duplication bound the points from above and need no shuffle to measure.
+    if fits_broadcast(curve, max_bytes) or fits_broadcast(points, max_bytes):
         entry = F.struct("wind_speed_rank", "_power")
         curves = points.groupBy("wtg_id").agg(F.map_from_entries(F.collect_list(entry)).alias("_curve"))
         joined = fact.join(F.broadcast(curves), "wtg_id")

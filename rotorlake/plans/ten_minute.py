@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from rotorlake.functions import bits, physics
 from rotorlake.operators.cleaning import convert_units, remap_ids
-from rotorlake.operators.joins import fits_broadcast, lookup_join
-from rotorlake.operators.lookup import asof_lookup
+from rotorlake.operators.joins import MAX_BROADCAST_BYTES, lookup_join
+from rotorlake.operators.lookup import asof_lookup, bracket_sets
 from rotorlake.operators.quality import quality_flags, real_energy
 from rotorlake.operators.series import fill_grid, last_per
 from rotorlake.schemas import TEN_MINUTE_MEASURES
 
 RATINGS = ["rated_power", "rated_torque", "on_grid_rotor_speed", "on_grid_generator_speed"]
-CONTRACT_CURVE, ACTUAL_CURVE = 1, 3
+# Power curve type of the contract and of the actual curve.
+CURVES = {"theory": 1, "active": 3}
 
 
 def unique_marks(raw: DataFrame, order: str = "loaded_at") -> DataFrame:
@@ -91,20 +92,20 @@ def curve_points(assignment: DataFrame, points: DataFrame) -> DataFrame:
     return points.join(assignment, "pc_id").select("wtg_id", "pc_type", "wind_speed_rank", "power")
 
 
-def predicted_power(df: DataFrame, curves: DataFrame, pc_type: int, prefix: str, fits: bool | None = None) -> DataFrame:
-    """Power between the two curve points around the standard speed, energy of 10 minutes; null outside the curve."""
-    points = curves.where(F.col("pc_type") == pc_type).select("wtg_id", "wind_speed_rank", "power")
-    looked = asof_lookup(df, points, "wtg_id", "ntf_wind_speed_standard", "wind_speed_rank", "_lo", "_hi", fits=fits)
-    power = physics.interpolate(
-        F.col("_lo.wind_speed_rank"),
-        F.col("_lo.power"),
-        F.col("_hi.wind_speed_rank"),
-        F.col("_hi.power"),
-        F.col("ntf_wind_speed_standard"),
-    )
-    return looked.withColumns(
-        {f"{prefix}_power_10m": power, f"{prefix}_approduction_10m": power / F.lit(6.0)}
-    ).drop("_lo", "_hi")
+def predicted_power(df: DataFrame, curves: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Power between the two curve points around the standard speed, energy of 10 minutes; null outside the curve.
+
+    Both curve types are read in one pass.
+    """
+    value, rank = "ntf_wind_speed_standard", "wind_speed_rank"
+    sets = {name: F.col("pc_type") == pc_type for name, pc_type in CURVES.items()}
+    looked = bracket_sets(df, curves, "wtg_id", value, rank, sets, max_bytes)
+    out = {}
+    for name in CURVES:
+        low, high = F.col(name + "_lo"), F.col(name + "_hi")
+        power = physics.interpolate(low[rank], low["power"], high[rank], high["power"], F.col(value))
+        out |= {f"{name}_power_10m": power, f"{name}_approduction_10m": power / F.lit(6.0)}
+    return looked.withColumns(out).drop(*[name + side for name in CURVES for side in ("_lo", "_hi")])
 
 
 def calculate(
@@ -113,9 +114,6 @@ def calculate(
     """The full 10-minute calculation of all turbines and days; carried rows only serve the deltas."""
     speeds = corrected_speeds(transfer_speeds(with_site(clean_rows, turbines, sites, "left"), ntf))
     energy = without_carry(real_energy(speeds))
-    curves = curve_points(assignment, points)
-    fits = fits_broadcast(curves)
-    theory = predicted_power(energy, curves, CONTRACT_CURVE, "theory", fits)
-    return predicted_power(theory, curves, ACTUAL_CURVE, "active", fits).drop(
+    return predicted_power(energy, curve_points(assignment, points)).drop(
         "altitude", "hub_height", "scada_ntf_id", "site_air_density", "has_ntf", "is_filled"
     )

@@ -161,6 +161,17 @@ def test_ordered_lookup(spark, max_bytes):
     assert all(r["known"] == (r["key"] not in {f"k{k}" for k in range(40, 45)}) for r in found)
 
 
+@pytest.mark.parametrize("max_bytes", [1 << 20, 0])
+def test_bracket_sets(spark, max_bytes):
+    df, table, below, above = lookup_case(spark)
+    both = table.withColumn("kind", F.lit(1)).union(table.withColumn("kind", F.lit(2)).where("p > 100"))
+    sets = {"one": F.col("kind") == 1, "two": (F.col("kind") == 2) & (F.col("p") > 1e9)}
+    found = lookup.bracket_sets(df, both, "key", "v", "rank", sets, max_bytes).collect()
+    assert {r["i"]: r["one_lo"] and tuple(r["one_lo"])[:2] for r in found} == below
+    assert {r["i"]: r["one_hi"] and tuple(r["one_hi"])[:2] for r in found} == above
+    assert all(r["two_lo"] is None and r["two_hi"] is None for r in found) and len(found) == len(below)
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_salted_join_equals_join(spark, how):
     fact = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 70).alias("k"), F.col("id").alias("n"))

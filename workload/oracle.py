@@ -294,8 +294,8 @@ select wtg_id, day, nc_id, ss_id, sc_id, count(*) as seconds, min(ts) as first_s
   cast(sum(sod) as bigint) as second_sum
 from {states} group by all""",
     "energy_seconds": f"""
-select wtg_id, day, cast(floor((sod - 1) / 3600) as bigint) as hour, count(*) as seconds, count(p0) as energy_seconds,
-  cast(sum({_e5('p0')}) as bigint) as energy_e5, cast(sum({_e5('p0')} * sod) as bigint) as energy_second_sum
+select wtg_id, day, cast(extract(hour from ts) as integer) as hour, count(*) as seconds, count(p0) as energy_seconds,
+  cast(sum({_e5('p0')}) as bigint) as energy_e5, min({_e5('p0')}) as least_e5, max({_e5('p0')}) as most_e5
 from {{energy_spread}} group by 1, 2, 3""",
     "production_base": f"""
 select coalesce(c.wtg_id, s.wtg_id) as wtg_id, coalesce(c.day, s.day) as day, nc_id, ss_id, sc_id, count(*) as seconds,

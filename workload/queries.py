@@ -44,8 +44,13 @@ def _joined_text(df: DataFrame, col: str, array) -> DataFrame:
     return df.withColumn(col, F.array_join(array, "; "))
 
 
-def _second_of_day():
-    return F.expr("timestampdiff(SECOND, cast(day as timestamp_ntz), ts)")
+def _epoch(ts):
+    return F.unix_seconds(ts.cast("timestamp"))
+
+
+def _second_sum():
+    """Sum of the seconds since the start of the day; the day is taken off after the sum."""
+    return (F.sum(_epoch(F.col("ts"))) - F.count(F.lit(1)) * _epoch(F.first("day"))).alias("second_sum")
 
 
 def _e5(col: str):
@@ -284,7 +289,7 @@ def state_seconds(spark, sf):
         F.count(F.lit(1)).alias("seconds"),
         F.min("ts").alias("first_second"),
         F.max("ts").alias("last_second"),
-        F.sum(_second_of_day()).alias("second_sum"),
+        _second_sum(),
     )
 
 
@@ -295,12 +300,12 @@ def energy_seconds(spark, sf):
     name = next(iter(cols.values()))
     energy = ten_minute.without_carry(quality.real_energy(_speeds(spark, sf)))
     spread = series.spread_energy(energy.select("wtg_id", "day", "datatime", *cols), "datatime", cols).withColumnRenamed("datatime", "ts")
-    hour = F.floor((_second_of_day() - 1) / 3600).alias("hour")
-    return spread.groupBy("wtg_id", "day", hour).agg(
+    return spread.groupBy("wtg_id", "day", F.hour("ts").alias("hour")).agg(
         F.count(F.lit(1)).alias("seconds"),
         F.count(name).alias("energy_seconds"),
         F.sum(_e5(name)).alias("energy_e5"),
-        F.sum(_e5(name) * _second_of_day()).alias("energy_second_sum"),
+        F.min(_e5(name)).alias("least_e5"),
+        F.max(_e5(name)).alias("most_e5"),
     )
 
 
@@ -310,7 +315,7 @@ def production_base(spark, sf):
     seconds = per_second.production_base(_calculated(spark, sf), _logs(spark, sf))
     return seconds.groupBy("wtg_id", "day", *KINDS).agg(
         F.count(F.lit(1)).alias("seconds"),
-        F.sum(_second_of_day()).alias("second_sum"),
+        _second_sum(),
         F.count("temoutave").alias("temperature_seconds"),
         F.sum(F.rint("temoutave").cast("long")).alias("temperature_sum"),
         *[F.sum(_e5(n)).alias(n + "_e5") for n in per_second.ENERGIES.values()],
