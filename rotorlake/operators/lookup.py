@@ -16,12 +16,9 @@ def newest_points(points: DataFrame, keys: list[str], value: str, order: list[st
     return points.groupBy(*keys).agg(last.alias(value))
 
 
-def _below(knots: Column, rank: str, value: Column) -> Column:
-    return F.try_element_at(F.filter(knots, lambda k: k[rank] <= value), F.lit(-1))
-
-
-def _above(knots: Column, rank: str, value: Column) -> Column:
-    return F.get(F.filter(knots, lambda k: k[rank] > value), 0)
+def _knots_below(knots: Column, rank: str, value: Column) -> Column:
+    """How many knots of a sorted array are at or below the value; null without a value."""
+    return F.when(value.isNotNull(), F.size(F.filter(knots, lambda k: k[rank] <= value)))
 
 
 def _knot_arrays(points: DataFrame, key: str, rank: str, sets: dict[str, Column]) -> DataFrame:
@@ -47,12 +44,15 @@ def bracket_sets(
     points = points.where(F.col(rank).isNotNull())
     if fits_broadcast(points, max_bytes):
         looked = df.join(F.broadcast(_knot_arrays(points, key, rank, sets)), key, "left")
-        found = {}
+        # One scan of the array gives both neighbours.
+        found, places = {}, {}
         for name in sets:
-            knots = F.col("_knots" + name)
-            found[name + "_lo"] = _below(knots, rank, F.col(value))
-            found[name + "_hi"] = _above(knots, rank, F.col(value))
-        return looked.withColumns(found).drop(*["_knots" + name for name in sets])
+            knots, at = F.col("_knots" + name), F.col("_at" + name)
+            places["_at" + name] = _knots_below(knots, rank, F.col(value))
+            found[name + "_lo"] = F.get(knots, at - 1)
+            found[name + "_hi"] = F.get(knots, at)
+        done = [prefix + name for name in sets for prefix in ("_knots", "_at")]
+        return looked.withColumns(places).withColumns(found).drop(*done)
     for name, chosen in sets.items():
         one = points.where(chosen)
         df = asof_merge(df, one, key, value, rank, name + "_lo")
@@ -87,12 +87,13 @@ def asof_lookup(
             df = salted_join(df, keys, [key], "left").withColumn(known, F.coalesce(known, F.lit(False)))
         return df
     looked = df.join(F.broadcast(_knot_arrays(points, key, rank, {"": F.lit(True)})), key, "left")
-    found = {out: _below(F.col("_knots"), rank, F.col(value))}
+    found = {out: F.get("_knots", F.col("_at") - 1)}
     if above:
-        found[above] = _above(F.col("_knots"), rank, F.col(value))
+        found[above] = F.get("_knots", F.col("_at"))
     if known:
         found[known] = F.col("_knots").isNotNull()
-    return looked.withColumns(found).drop("_knots")
+    placed = looked.withColumn("_at", _knots_below(F.col("_knots"), rank, F.col(value)))
+    return placed.withColumns(found).drop("_knots", "_at")
 
 
 def asof_merge(
