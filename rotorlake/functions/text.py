@@ -51,7 +51,12 @@ def partition_spec(path: Column, levels: int = 2) -> Column:
     return F.array_join(F.transform(parts, lambda p: F.concat(F.replace(p, F.lit("="), F.lit('="')), F.lit('"'))), ", ")
 
 
-def local_text_to_epoch(col: Column) -> tuple[Column, Column]:
-    """(epoch seconds, ``yyyyMMdd``) of a local ``yyyy-MM-dd HH:mm:ss`` text, two nulls if it does not parse."""
+def local_text_to_epoch(col: Column, tz: str | None = None) -> tuple[Column, Column]:
+    """(epoch seconds, ``yyyyMMdd``) of a local ``yyyy-MM-dd HH:mm:ss`` text, two nulls if it does not parse.
+
+    ``tz`` is the zone of the text, by default that of the session.
+    """
     ts = F.try_to_timestamp(col, F.lit("yyyy-MM-dd HH:mm:ss"))
+    if tz is not None:
+        ts = F.convert_timezone(F.lit(tz), F.current_timezone(), ts.cast("timestamp_ntz")).cast("timestamp")
     return F.unix_seconds(ts), F.when(ts.isNotNull(), F.replace(F.substring_index(col, " ", 1), F.lit("-"), F.lit("")))

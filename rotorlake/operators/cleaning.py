@@ -29,11 +29,12 @@ def kv_pairs(row: Column) -> tuple[Column, Column]:
     return reversed_pairs(names, values)
 
 
-def parse_kv(df: DataFrame, col: str = "all_key_value") -> DataFrame:
+def parse_kv(df: DataFrame, col: str = "all_key_value", tz: str | None = None) -> DataFrame:
     """``key:value`` text rows to the typed 1-minute warehouse columns; broken rows are left out.
 
     Keys keep no case, the last pair of a key wins, a missing key is null. ``occur_time`` gives epoch
-    seconds and date in the session time zone, ``readwindspeed`` is scaled down.
+    seconds and date; its text is in zone ``tz``, by default the session's. ``readwindspeed`` is scaled
+    down.
     """
     keep = [c for c in df.columns if c != col]
     names, values = kv_pairs(F.col(col))
@@ -46,7 +47,7 @@ def parse_kv(df: DataFrame, col: str = "all_key_value") -> DataFrame:
         text = F.col("_" + point)
         kind = MINUTE_WAREHOUSE[column].dataType
         if point == "occur_time":
-            epoch, date = local_text_to_epoch(missing_to_null(text))
+            epoch, date = local_text_to_epoch(missing_to_null(text), tz)
             out += [epoch.alias("data_time"), date.alias("date")]
         elif point == "readwindspeed":
             out.append((to_number(text) / F.lit(physics.WIND_SPEED_SCALE)).alias(column))

@@ -251,8 +251,16 @@ def avg_windows(
     return means.select(F.col("window.start").alias(ts), *keys, *cols)
 
 
+def row_map(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """User function on an iterator of pandas batches of a partition, row by row in and out."""
+    return df.mapInPandas(fn, schema)
+
+
 def grouped_map(df: DataFrame, key: str, ts: str, fn: Callable, schema: str) -> DataFrame:
-    """User function on the pandas frame of one (key, measuring day), a group whose size the clock bounds."""
+    """User function on the pandas frame of one (key, measuring day).
+
+    Give it rows that are already one per mark: then the clock bounds a group's size.
+    """
     if "day" not in df.columns:
         df = df.withColumn("day", calendar.measuring_day(F.col(ts)))
     return df.groupBy(key, "day").applyInPandas(fn, schema)

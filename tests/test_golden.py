@@ -175,6 +175,17 @@ def test_key_value_rows(spark):
     assert [r[0] for r in cleaning.kv_rejects(raw).collect()] == lines[2:4]
 
 
+def test_local_time_of_another_zone(spark):
+    raw = spark.createDataFrame([("wtg_id:W,occur_time:2016-03-10 08:01:00",)], "all_key_value string")
+    row = cleaning.parse_kv(raw, tz="Asia/Shanghai").first()
+    assert (row["data_time"], row["date"]) == (1457568060, "20160310")
+
+
+def test_row_map(spark):
+    doubled = series.row_map(spark.range(5), lambda frames: (f.assign(id=f["id"] * 2) for f in frames), "id long")
+    assert sorted(r["id"] for r in doubled.collect()) == [0, 2, 4, 6, 8]
+
+
 def test_warehouse_text_round_trip(spark):
     line = ",".join(["W1", "S1", "1457568060", "20160310", "7", "N/A", "NULL", "", "12.5"] + ["\\N"] * 13)
     df = spark.createDataFrame([(line,), ("W2,too,short",)], "value string")

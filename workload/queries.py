@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rotorlake.functions import bits, calendar
+from rotorlake.functions.text import partition_spec
 from rotorlake.operators import cleaning, mapping, quality, series
 from rotorlake.plans import minute, per_second, station, ten_minute
 from rotorlake.schemas import COUNTERS, TEN_MINUTE_MEASURES, column_name, create_table
@@ -85,7 +86,7 @@ def _logs(spark, sf):
 
 @query
 def kv_parse(spark, sf):
-    return cleaning.parse_kv(view(spark, sf, "kv_raw"))
+    return cleaning.parse_kv(view(spark, sf, "kv_raw"), tz="UTC")
 
 
 @query
@@ -168,8 +169,6 @@ def partition_register(spark, sf):
     schema = T.StructType.fromDDL("event_id long, site string, month string")
     create_table(spark, name, schema, ["site", "month"], path)
     folders = rows.select(F.concat(F.lit(path + "/site="), "site_id", F.lit("/month="), "month").alias("location")).distinct()
-    from rotorlake.functions.text import partition_spec
-
     tables.register_partitions(spark, name, folders.withColumn("spec", partition_spec(F.col("location"))))
     return spark.table(name).select("event_id", "site", "month")
 
