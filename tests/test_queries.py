@@ -3,10 +3,13 @@
 import compare
 import pytest
 
+import workload.oracle
+import workload.queries
+
 import __spark_entry__ as entry_point
 
-QUERIES = entry_point.queries()
-SQL = entry_point.oracle_sql()
+QUERIES = workload.queries.QUERIES
+SQL = workload.oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
