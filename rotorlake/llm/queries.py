@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotorlake.llm import decontaminate, licenses, piece_codec, token_files, topk
+from rotorlake.llm import decontaminate, licenses, piece_codec, suffixes, token_files, topk
 from rotorlake.session import shared_folder
 
 #: End id of the token files.
@@ -43,6 +43,11 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes that strings of fifty bytes of earlier documents cover, removed."""
+    return suffixes.dedup(table(spark, sf_dir, "documents"), with_kept=False).drop("spans")
+
+
 def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids written in bit-packed files and read back."""
     path = shared_folder(spark, "token-files")
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_topk_search": topk_search,
     "op4_decontaminate": decontaminated,
     "op6_license_scan": license_scan,
+    "op8_suffix_dedup": suffix_dedup,
     "op9_token_files": token_files_query,
     "op10_sentencepiece": sentencepiece_codec,
 }
