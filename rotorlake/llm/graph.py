@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rotorlake.session import shared_folder
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
+def kept(df: DataFrame, name: str) -> DataFrame:
     """Written to the shared folder and read again, so that plans stay short and lost executors cost little."""
     spark, path = df.sparkSession, shared_folder(df.sparkSession, name)
     df.write.parquet(path)
@@ -21,7 +21,7 @@ def components(links: DataFrame) -> DataFrame:
     Large-star and small-star steps alternate until nothing changes. Every step sends each edge once, and nodes with
     many edges meet only minima.
     """
-    edges = _kept(links.where("a <> b").select("a", "b").distinct(), "edges")
+    edges = kept(links.where("a <> b").select("a", "b").distinct(), "edges")
     before = None
     while True:
         both = edges.union(edges.select("b", "a"))
@@ -32,7 +32,7 @@ def components(links: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a")
         small = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
-        edges = _kept(small.distinct(), "edges")
+        edges = kept(small.distinct(), "edges")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

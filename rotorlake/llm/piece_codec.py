@@ -162,33 +162,31 @@ def codec(path: str) -> Codec:
     return _codecs[path]
 
 
-def encode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text", with_text: bool = True) -> DataFrame:
-    """One row per document: doc_id, ids (with the end id), n_tokens, digests of ids and decoded text, decoded text.
-
-    ``with_text=False`` leaves the ids and the decoded text out of the rows; they are made all the same.
-    """
+def encode(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
+    """One row per document: doc_id, n_tokens, digests of ids (with the end id) and decoded text; the ids."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    schema += ", ids array<int>, decoded string" * with_text
+    schema = f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(model)
+        digest = lambda x: hashlib.sha256(x.encode()).hexdigest()
         for batch, bounds, data in texts.pieces(batches, "text"):
             whole, counts = code.encode(bounds, data)
-            whole, ends = whole.tolist(), np.cumsum(counts).tolist()
-            ids = [[*whole[b - n : b], code.end] for b, n in zip(ends, counts.tolist(), strict=True)]
-            back = [code.decode(x) for x in ids]
+            whole = np.insert(whole, np.cumsum(counts), np.uint32(code.end)).astype(np.int32)
+            at = np.concatenate([[0], np.cumsum(counts + 1)])
+            listed = whole.tolist()
+            rows = [listed[a:b] for a, b in zip(at.tolist(), at[1:].tolist(), strict=False)]
             columns = [
                 batch.column("doc_id"),
-                pa.array(list(map(len, ids)), pa.int64()),
-                pa.array([hashlib.sha256(code.listed(x).encode()).hexdigest() for x in ids]),
-                pa.array([hashlib.sha256(x.encode()).hexdigest() for x in back]),
+                pa.array(counts + 1),
+                pa.array([digest(code.listed(x)) for x in rows]),
+                pa.array([digest(code.decode(x)) for x in rows]),
             ]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if with_text:
-                columns += [pa.array(ids, pa.list_(pa.int32())), pa.array(back, pa.string())]
-                names += ["ids", "decoded"]
+            if with_ids:
+                columns.append(pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(whole)))
+                names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return source.mapInArrow(run, schema)

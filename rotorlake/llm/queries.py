@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotorlake.llm import decontaminate, licenses, piece_codec, suffixes, token_files, topk
+from rotorlake.llm import decontaminate, language, licenses, lines, piece_codec, shingles, suffixes, token_files, topk, toxicity
 from rotorlake.session import shared_folder
 
 #: End id of the token files.
@@ -19,6 +19,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(doc_id: Column) -> Column:
+    """The fold that nothing is learned from."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
+
+
+def training(doc_id: Column) -> Column:
+    return ~held_out(doc_id)
+
+
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), training)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return toxicity.scores(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+def jaccard_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate classes by word shingles."""
+    return shingles.classes(table(spark, sf_dir, "documents"))
+
+
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document."""
+    vocabulary = public_tokenizers.path("piece_bpe_32k.model")
+    return language.identify(table(spark, sf_dir, "documents"), training(F.col("doc_id")), vocabulary)
+
+
+def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and sentences that an earlier document or place holds, removed."""
+    found = lines.dedup(table(spark, sf_dir, "documents"), with_kept=False)
+    return found.drop("text_hash").withColumn("spans", F.array_join(F.col("spans").cast("array<string>"), ","))
+
+
 def topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twenty nearest vectors by integer inner product of every twentieth vector."""
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
@@ -59,13 +93,17 @@ def token_files_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of each document and the text decoded from them."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    return piece_codec.encode(table(spark, sf_dir, "documents"), model, with_text=False)
+    return piece_codec.encode(table(spark, sf_dir, "documents"), model, with_ids=False)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxicity_scores,
+    "op2_jaccard_join": jaccard_classes,
     "op3_topk_search": topk_search,
     "op4_decontaminate": decontaminated,
+    "op5_language_id": language_id,
     "op6_license_scan": license_scan,
+    "op7_line_dedup": line_dedup,
     "op8_suffix_dedup": suffix_dedup,
     "op9_token_files": token_files_query,
     "op10_sentencepiece": sentencepiece_codec,

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from rotorlake.llm.queries import QUERIES, SQL
 
 
 def queries() -> dict:
-    return dict(QUERIES)
+    return dict(QUERIES) | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(SQL)
+    return dict(SQL) | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

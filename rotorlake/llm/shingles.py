@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rotorlake.llm import exchange, graph, texts
+from rotorlake.operators.joins import fits_broadcast
 
 WORDS = 5
 ROUNDS = 3
@@ -149,7 +150,7 @@ def paths(parts: exchange.Parts, words: int) -> DataFrame:
 
     known = first.unionByName(tokens)
     schema = "doc_id long, n long, set long, doc long, rare long, path binary"
-    return graph._kept(parts.table.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(ordered, schema), "paths")
+    return graph.kept(parts.table.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(ordered, schema), "paths")
 
 
 def subtrees(found: DataFrame) -> DataFrame:
@@ -165,7 +166,7 @@ def subtrees(found: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in made], names=["token", "set", "n", "rare"])
 
     rows = found.where("path is not null").select("set", "n", "rare", "path")
-    return graph._kept(rows.mapInArrow(cut, "token long, set long, n long, rare long"), "subtrees")
+    return graph.kept(rows.mapInArrow(cut, "token long, set long, n long, rare long"), "subtrees")
 
 
 def walk(pivot: list[int], pivot_size: int, members: list[tuple[int, int, list[int]]]) -> list[int]:
@@ -205,7 +206,7 @@ def verify(pairs: DataFrame, found: DataFrame) -> DataFrame:
     rows = found.where("path is not null").select("set", "n", "path")
     blocks = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     dealt = pairs.join(blocks, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("blocks")).cast("int").alias("block"))
-    dealt = graph._kept(dealt, "candidates")
+    dealt = graph.kept(dealt, "candidates")
     members = dealt.join(rows.withColumnRenamed("set", "a"), "a")
     pivots = dealt.select("b", "block").distinct().join(rows.withColumnRenamed("set", "b"), "b")
     pivots = pivots.select(F.col("b").alias("p_b"), F.col("block").alias("p_block"), F.col("n").alias("p_n"), F.col("path").alias("p_path"))
@@ -217,7 +218,7 @@ def verify(pairs: DataFrame, found: DataFrame) -> DataFrame:
         return pa.table({"a": pa.array(got, pa.int64()), "b": pa.array([one["p_b"]] * len(got), pa.int64())})
 
     out = members.groupBy("b", "block").cogroup(pivots.groupBy("p_b", "p_block")).applyInArrow(join, "a long, b long")
-    return graph._kept(out, "links")
+    return graph.kept(out, "links")
 
 
 def _like(a: str, b: str):
@@ -231,13 +232,13 @@ def join(found: DataFrame) -> DataFrame:
     typical = F.struct((F.col("rare") / F.col("n")).alias("own"), "set", "n")
     pivots = trees.groupBy("token").agg(F.min(typical).alias("p")).select("token", F.col("p.set").alias("b"), F.col("p.n").alias("m"))
     pairs = trees.join(pivots, "token").where((F.col("set") != F.col("b")) & _like("n", "m"))
-    pairs = graph._kept(pairs.select(F.col("set").alias("a"), "b").distinct(), "pairs")
+    pairs = graph.kept(pairs.select(F.col("set").alias("a"), "b").distinct(), "pairs")
     links, tried = verify(pairs, found), pairs
     roots = graph.components(links)
     for turn in range(ROUNDS):
         placed = trees.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
         mixed = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
-        open_ = graph._kept(placed.join(mixed, "token"), "open")
+        open_ = graph.kept(placed.join(mixed, "token"), "open")
         if not open_.take(1):
             return roots
         # The component with most members of a subtree is the main one; the others look for links into it.
@@ -250,7 +251,7 @@ def join(found: DataFrame) -> DataFrame:
             others = others.groupBy("token").agg(F.min(draw).alias("x")).select("token", "x.b", "x.m", "x.root_b")
         near = placed.join(others, "token").where((F.col("root") != F.col("root_b")) & _like("n", "m"))
         near = near.select(F.least("set", "b").alias("a"), F.greatest("set", "b").alias("b")).distinct()
-        near = graph._kept(near.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
+        near = graph.kept(near.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
         new = verify(near, found)
         tried, links = tried.union(near), links.union(new)
         if new.take(1):
@@ -271,3 +272,14 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
     component = F.coalesce("low", "doc", "doc_id")
     none = F.lit(int(exchange.NO_ID))
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(component != none, component).alias("component_id"))
+
+
+def clean(docs: DataFrame, words: int = WORDS) -> DataFrame:
+    """The documents with all columns, of each class the one with the smallest id.
+
+    Rows without an id and rows that repeat an id stay or go together with it.
+    """
+    found = classes(docs, words=words)
+    gone = graph.kept(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    gone = F.broadcast(gone) if fits_broadcast(gone) else gone
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")

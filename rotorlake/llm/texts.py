@@ -55,7 +55,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, for ``n`` places."""
     if len(_powers[0]) < n:
         for k, base in enumerate((_BASE, _INVERSE)):
@@ -127,7 +127,7 @@ def words(bounds: np.ndarray, data: np.ndarray, table: np.ndarray) -> tuple[np.n
 
 def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
     """A 64-bit hash of each word's bytes, A-Z lower-cased if ``fold``; a word has the same hash everywhere."""
-    up, down = _power(len(data) + 1)
+    up, down = powers(len(data) + 1)
     total = np.empty(len(data) + 1, np.uint64)
     total[0] = 0
     np.cumsum((_FOLDED_CODES if fold else _BYTE_CODES)[data] * up[: len(data)], out=total[1:])
