@@ -122,7 +122,7 @@ class Rule:
 def rules() -> list[Rule]:
     """All rules, highest priority first."""
     made = [Rule(phrase, label, P_BASE, 1.0, phrase.split()[0], base=True) for phrase, label in BASE.items()]
-    later = r"(?: of the license)? or (?:at your option )?any later(?: version)?"
+    later = r"(?: of the license)? or (?:at your option )?(?:any )?later(?: version)?"
     for label, name, gate, versions in VERSIONED:
         made.append(Rule(name, label, P_NAME, 0.9, gate))
         for v in versions:
