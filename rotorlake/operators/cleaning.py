@@ -17,8 +17,9 @@ def tokens_of(row: Column) -> Column:
 
 
 def is_valid_kv(row: Column) -> Column:
-    """Every token has one colon, or three (a value with a time)."""
-    return F.trim(row).rlike("^[^:,]*:[^:,]*(:[^:,]*:[^:,]*)?(,[^:,]*:[^:,]*(:[^:,]*:[^:,]*)?)*$")
+    """Every token has one colon, or three (a value with a time). Rows may be of any length."""
+    colons = lambda t: F.length(t) - F.length(F.replace(t, F.lit(":"), F.lit("")))
+    return F.forall(tokens_of(row), lambda t: colons(t).isin(1, 3))
 
 
 def kv_pairs(row: Column) -> tuple[Column, Column]:
@@ -95,8 +96,11 @@ def parse_warehouse_text(df: DataFrame, col: str = "value", sep: str = ",") -> D
 def remap_ids(
     df: DataFrame, mapping: DataFrame, key: str, source: str, target: str, keep_unmapped: bool = False
 ) -> DataFrame:
-    """Replace ``key`` by ``target`` where ``source`` equals it. Unmapped rows drop, or keep their id."""
-    pairs = mapping.select(F.col(source).alias(key), F.col(target).alias("_target"))
+    """Replace ``key`` by ``target`` where ``source`` equals it. Unmapped rows drop, or keep their id.
+
+    Of several targets of one source the greatest counts, so no row is doubled.
+    """
+    pairs = mapping.where(F.col(source).isNotNull()).groupBy(F.col(source).alias(key)).agg(F.max(target).alias("_target"))
     joined = lookup_join(df, pairs, key, "left" if keep_unmapped else "inner")
     new = F.coalesce("_target", key) if keep_unmapped else F.col("_target")
     return joined.withColumn(key, new).select(*df.columns)

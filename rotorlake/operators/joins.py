@@ -47,7 +47,12 @@ def salted_join(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "inne
 def lookup_join(
     fact: DataFrame, dim: DataFrame, on: str | list[str], how: str = "inner", max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
-    """Join a fact with a dimension on equal keys without shuffling the fact when the dimension is small."""
+    """Join a fact with a dimension on equal keys without shuffling the fact when the dimension is small.
+
+    Only inner and left joins: others would repeat unmatched rows of the dimension for every salt.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"lookup_join takes inner or left, not {how}")
     keys = [on] if isinstance(on, str) else list(on)
     if fits_broadcast(dim, max_bytes):
         return fact.join(F.broadcast(dim), keys, how)

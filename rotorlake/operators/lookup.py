@@ -21,11 +21,25 @@ def _knots_below(knots: Column, rank: str, value: Column) -> Column:
     return F.when(value.isNotNull(), F.size(F.filter(knots, lambda k: k[rank] <= value)))
 
 
-def _knot_arrays(points: DataFrame, key: str, rank: str, sets: dict[str, Column]) -> DataFrame:
+def unique_points(points: DataFrame, key: str, rank: str, sets: dict[str, Column]) -> DataFrame:
+    """One row per (key, rank), for each named subset a struct ``_in<name>`` with its point, null if it has none.
+
+    Points without key or rank match nothing and go. Of several points of one (key, rank) the greatest counts, column
+    by column.
+    """
     rest = [c for c in points.columns if c not in (key, rank)]
-    knot = F.struct(rank, *rest)
-    arrays = [F.array_sort(F.collect_list(F.when(chosen, knot))).alias("_knots" + name) for name, chosen in sets.items()]
-    return points.groupBy(key).agg(*arrays)
+    point = F.struct(rank, *rest)
+    known = points.where(F.col(key).isNotNull() & F.col(rank).isNotNull())
+    return known.groupBy(key, rank).agg(*[F.max(F.when(chosen, point)).alias("_in" + name) for name, chosen in sets.items()])
+
+
+def _knot_arrays(unique: DataFrame, key: str, sets: dict[str, Column]) -> DataFrame:
+    arrays = [F.array_sort(F.collect_list("_in" + name)).alias("_knots" + name) for name in sets]
+    return unique.groupBy(key).agg(*arrays)
+
+
+def _subset(unique: DataFrame, key: str, name: str) -> DataFrame:
+    return unique.where(F.col("_in" + name).isNotNull()).select(key, f"_in{name}.*")
 
 
 def bracket_sets(
@@ -41,9 +55,10 @@ def bracket_sets(
 
     All subsets share one pass over the points and, if these are few, one broadcast.
     """
-    points = points.where(F.col(rank).isNotNull())
+    unique = unique_points(points, key, rank, sets)
+    # The rows before de-duplication bound what is sent and need no shuffle to measure.
     if fits_broadcast(points, max_bytes):
-        looked = df.join(F.broadcast(_knot_arrays(points, key, rank, sets)), key, "left")
+        looked = df.join(F.broadcast(_knot_arrays(unique, key, sets)), key, "left")
         # One scan of the array gives both neighbours.
         found, places = {}, {}
         for name in sets:
@@ -53,8 +68,8 @@ def bracket_sets(
             found[name + "_hi"] = F.get(knots, at)
         done = [prefix + name for name in sets for prefix in ("_knots", "_at")]
         return looked.withColumns(places).withColumns(found).drop(*done)
-    for name, chosen in sets.items():
-        one = points.where(chosen)
+    for name in sets:
+        one = _subset(unique, key, name)
         df = asof_merge(df, one, key, value, rank, name + "_lo")
         df = asof_merge(df, one, key, value, rank, name + "_hi", upward=True)
     return df
@@ -74,11 +89,14 @@ def asof_lookup(
     """Add struct ``out``: the point of the row's key with the greatest ``rank`` <= ``value``, null if none.
 
     With ``above`` also add the point with the least ``rank`` > ``value``, with ``known`` whether the key
-    has any point. ``points`` holds one row per (key, rank). All rows of ``df`` stay. A small point table
+    has any point. Of several points of one (key, rank) the greatest counts; points without key or rank match
+    nothing. All rows of ``df`` stay. A small point table
     goes out as one sorted array per key; a larger one is matched by ``asof_merge``.
     """
-    points = points.where(F.col(rank).isNotNull())
+    every = {"": F.lit(True)}
+    unique = unique_points(points, key, rank, every)
     if not fits_broadcast(points, max_bytes):
+        points = _subset(unique, key, "")
         df = asof_merge(df, points, key, value, rank, out)
         if above:
             df = asof_merge(df, points, key, value, rank, above, upward=True)
@@ -86,7 +104,7 @@ def asof_lookup(
             keys = points.select(key).distinct().withColumn(known, F.lit(True))
             df = salted_join(df, keys, [key], "left").withColumn(known, F.coalesce(known, F.lit(False)))
         return df
-    looked = df.join(F.broadcast(_knot_arrays(points, key, rank, {"": F.lit(True)})), key, "left")
+    looked = df.join(F.broadcast(_knot_arrays(unique, key, every)), key, "left")
     found = {out: F.get("_knots", F.col("_at") - 1)}
     if above:
         found[above] = F.get("_knots", F.col("_at"))

@@ -19,7 +19,8 @@ def protocol_layout(fields: DataFrame) -> DataFrame:
     0. If an alias occurs twice the later field wins.
     """
     standard = F.array(*[F.lit(a) for a in STANDARD_POINTS])
-    slot = F.array_position(standard, F.col("field_alias")).cast("int")
+    # A field without alias is no standard point; it is kept with the others.
+    slot = F.coalesce(F.array_position(standard, F.col("field_alias")), F.lit(0)).cast("int")
     sorted_fields = F.array_sort(F.collect_list(F.struct("pos", "slot", "field_desc")))
     grouped = (
         fields.withColumn("slot", slot).groupBy("protocol_id").agg(F.count(F.lit(1)).alias("width"), sorted_fields.alias("f"))

@@ -50,10 +50,12 @@ def fill_grid(
 ) -> DataFrame:
     """Regular grid per (key, day): every mark from day + step to the next midnight, and the carried midnight.
 
-    Input holds one row per (key, mark). Missing marks get null measures and ``is_filled``. Each row
-    fills the gap up to the next one, so the grid needs no join: 144 rows per day at 10 minutes, 145 with
-    carry. A day that only has its carried row is kept up to ``last_day``, the last day of the run.
+    Input holds one row per (key, mark); rows off the grid are left out (see ``off_grid``). Missing marks get null
+    measures and ``is_filled``. Each row fills the gap up to the next one, so the grid needs no join: 144 rows per day
+    at 10 minutes, 145 with carry. Every day from a key's first to its last is there, silent ones too, and up to
+    ``last_day``, the last day of the run.
     """
+    df = df.where(~off_grid(F.col(ts), step))
     measures = [c for c in df.columns if c not in (key, ts)]
     group = Window.partitionBy(key, "day")
     ordered = group.orderBy(ts)
@@ -61,17 +63,18 @@ def fill_grid(
     end = calendar.shift(start, DAY)
     gap = F.expr(f"interval '{step}' second")
 
-    present = with_carry(df, ts)
+    # A row without time for each day of the span; it stands for the day where there is no other.
+    seed = days_of(df, key, ts, last_day).withColumn("_seed", F.lit(True))
+    present = with_carry(df, ts).withColumn("_seed", F.lit(False)).unionByName(seed, allowMissingColumns=True)
     marked = present.withColumns(
         {
             "_next": F.lead(ts).over(ordered),
             "_previous": F.lag(ts).over(ordered),
-            "_own": F.max(F.col(ts) > start).over(group),
+            "_wanted": F.max("_seed").over(group),
+            "_real": F.count(F.col(ts)).over(group),
         }
-    )
-    wanted = F.col("_own")
-    if last_day is not None:
-        wanted = wanted | (F.col("day") <= F.lit(last_day).cast("date"))
+    ).withColumn(ts, F.coalesce(F.col(ts), start))
+    wanted = F.col("_wanted") & (~F.col("_seed") | (F.col("_real") == 0))
     # The first row of a day also opens the gap before it.
     first_mark = F.when(F.col("_previous").isNull(), F.least(F.col(ts), calendar.shift(start, step))).otherwise(F.col(ts))
     stop = F.coalesce(F.col("_next"), calendar.shift(end, step))
@@ -79,7 +82,8 @@ def fill_grid(
     filled = (
         marked.where(wanted)
         .withColumn("_mark", F.explode(marks))
-        .withColumn("is_filled", F.col("_mark") != F.col(ts))
+        .withColumn("is_filled", (F.col("_mark") != F.col(ts)) | F.col("_seed"))
+        .where(~F.col("_seed") | (F.col("_mark") > start))
     )
     if not keep_carry:
         filled = filled.where(F.col("_mark") > start)
@@ -87,6 +91,24 @@ def fill_grid(
     return filled.select(key, "day", F.col("_mark").alias(ts), *values, "is_filled")
 
 
+def off_grid(ts: Column, step: int = STEP) -> Column:
+    """Whether a time lies between the marks of its day; a missing time does too."""
+    micros = F.unix_micros(ts.cast("timestamp")) - F.unix_micros(F.to_date(ts).cast("timestamp_ntz").cast("timestamp"))
+    return F.coalesce(F.pmod(micros, F.lit(step * 1_000_000)) != 0, F.lit(True))
+
+
+def days_of(df: DataFrame, key: str, ts: str, last_day: str | None = None) -> DataFrame:
+    """All measuring days (key, day) from a key's first row to its last, or to ``last_day`` if that is later.
+
+    Rows at midnight belong to the day that ends there.
+    """
+    span = df.where(F.col(ts).isNotNull()).groupBy(key).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+    first, last = calendar.measuring_day(F.col("_first")), calendar.measuring_day(F.col("_last"))
+    if last_day is not None:
+        last = F.greatest(last, F.lit(last_day).cast("date"))
+    return span.select(key, F.explode(F.sequence(first, last)).alias("day"))
+
+
 def spread_groups(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition by ``keys`` into the session's shuffle partitions, a number that stays.
 
@@ -116,21 +138,31 @@ def day_span(df: DataFrame, keys: list[str], ts: str) -> DataFrame:
 
 
 def last_event_per_second(events: DataFrame, keys: list[str], ts: str, msec: str, state: str) -> DataFrame:
-    """Events of one second reduced to the one with the highest millisecond."""
-    return events.groupBy(*keys, ts).agg(F.max_by(state, msec).alias(state))
+    """Events of one second reduced to the last by time and millisecond; equal ones by the greatest state."""
+    moments = events.withColumns({"_at": F.struct(ts, msec, state), ts: whole_second(F.col(ts))})
+    return moments.groupBy(*keys, ts).agg(F.max("_at").alias("_at")).select(*keys, ts, F.col(f"_at.{state}").alias(state))
+
+
+def whole_second(ts: Column) -> Column:
+    """A plain time without the fraction of its second."""
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.day(ts), F.hour(ts), F.minute(ts), F.second(ts).cast("decimal(16,6)"))
 
 
 def state_intervals(logs: dict[str, DataFrame], roster: DataFrame, key: str = "wtg_id") -> DataFrame:
     """State logs merged to intervals ``[start_time, end_time)`` in which no state changes.
 
-    ``logs`` maps an output column to a log (key, starttime, msec, state_id) with whole-second times.
+    ``logs`` maps an output column to a log (key, starttime, msec, state_id). A state holds from the second of its
+    time on; within a second the latest by time and millisecond counts.
     ``roster`` holds the (key, day) pairs to cover. A day runs from its first second to the next
     midnight; it opens with the last state of any earlier day, and a null state is carried as null.
     """
     kinds = list(logs)
     tagged = None
     for kind, log in logs.items():
-        one = log.select(key, F.col("starttime").alias("start_time"), "msec", "state_id", F.lit(kind).alias("kind"))
+        second = whole_second(F.col("starttime"))
+        one = log.where(F.col("starttime").isNotNull()).select(
+            key, second.alias("start_time"), F.struct("starttime", "msec").alias("msec"), "state_id", F.lit(kind).alias("kind")
+        )
         tagged = one if tagged is None else tagged.unionByName(one)
 
     def of_kind(kind: str, col: str) -> Column:
@@ -229,7 +261,8 @@ def split_energy(df: DataFrame, cols: dict[str, str], step: int = STEP, digits:
 def spread_energy(df: DataFrame, ts: str, cols: dict[str, str], step: int = STEP, digits: int = 5) -> DataFrame:
     """Every second of ``(mark - step, mark]`` takes the mark's row; energies are split, the rest on the mark."""
     seconds = F.sequence(calendar.shift(F.col("_mark"), 1 - step), F.col("_mark"), F.expr("interval '1' second"))
-    marks = split_energy(spread_groups(df, ts), cols, step, digits).withColumnRenamed(ts, "_mark")
+    groups = [c for c in ("wtg_id", "day") if c in df.columns]
+    marks = split_energy(spread_groups(df, *groups, ts), cols, step, digits).withColumnRenamed(ts, "_mark")
     spread = marks.withColumn(ts, F.explode(seconds))
     on_mark = F.col(ts) == F.col("_mark")
     shares = {n: F.when(on_mark, F.col(n + "_last")).otherwise(F.col(n)) for n in cols.values()}

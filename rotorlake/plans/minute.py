@@ -19,8 +19,15 @@ STEP = 0.5
 SITE_TYPES = (1, 2)
 
 
-def staging(clean: DataFrame, turbines: DataFrame, types: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Clean fact with the turbine's type and rating, for turbines of the two site types."""
+def staging(
+    clean: DataFrame, turbines: DataFrame, types: DataFrame, columns: list[str] | None = None, day: str | None = None
+) -> DataFrame:
+    """Clean fact with the turbine's type and rating, for turbines of the two site types.
+
+    ``day`` (yyyymmdd) keeps one day; on a table partitioned by ``date`` only its folder is read.
+    """
+    if day is not None:
+        clean = clean.where(F.col("date") == day)
     chosen = turbines.where(F.col("site_type").isin(*SITE_TYPES)).select("wtg_id", "wtg_type_id")
     named = types.select("wtg_type_id", "wtg_type_name", "rated_power")
     # The two dimensions are joined first: the fact meets one small table.
@@ -41,27 +48,28 @@ def ideal_power(
 
     Of several points of one speed the newest counts. Turbines without any curve row drop out.
     """
+    # Rows without turbine or speed are no points.
+    curve = curve.where(F.col("wtg_id").isNotNull() & F.col("wind_speed_rank").isNotNull())
     points = newest_points(curve, ["wtg_id", "wind_speed_rank"], "active_power", ["created_time"]).select(
         "wtg_id", "wind_speed_rank", F.col("active_power").alias("_power")
     )
     speed = F.col(speed_col)
     low, high = physics.grid_neighbours(speed, STEP)
-    # The rows before de-duplication bound the points from above and need no shuffle to measure.
+    entry = F.struct("wind_speed_rank", "_power")
+    curves = points.groupBy("wtg_id").agg(F.map_from_entries(F.collect_list(entry)).alias("_curve"))
+    # The rows before de-duplication bound the points from above and need no shuffle to measure. Beyond the bound the
+    # fact is shuffled once, to its turbines' curves.
     if fits_broadcast(curve, max_bytes) or fits_broadcast(points, max_bytes):
-        entry = F.struct("wind_speed_rank", "_power")
-        curves = points.groupBy("wtg_id").agg(F.map_from_entries(F.collect_list(entry)).alias("_curve"))
         joined = fact.join(F.broadcast(curves), "wtg_id")
-        low_power, high_power = F.try_element_at("_curve", low), F.try_element_at("_curve", high)
-        power = _interpolated(speed, low, high, low_power, high_power)
-        return joined.withColumn("ideal_active_power", power).drop("_curve")
-    known = salted_join(fact, points.select("wtg_id").distinct(), ["wtg_id"]).withColumns({"_low": low, "_high": high})
-    for side in ("_low", "_high"):
-        at = points.select("wtg_id", F.col("wind_speed_rank").alias(side), F.col("_power").alias(side + "_power"))
-        known = salted_join(known, at, ["wtg_id", side], "left")
-    power = _interpolated(speed, F.col("_low"), F.col("_high"), F.col("_low_power"), F.col("_high_power"))
-    return known.withColumn("ideal_active_power", power).select(*fact.columns, "ideal_active_power")
+    else:
+        joined = salted_join(fact, curves, ["wtg_id"])
+    low_power, high_power = F.try_element_at("_curve", low), F.try_element_at("_curve", high)
+    power = _interpolated(speed, low, high, low_power, high_power)
+    return joined.withColumn("ideal_active_power", power).select(*fact.columns, "ideal_active_power")
 
 
-def minute_chain(raw: DataFrame, turbines: DataFrame, types: DataFrame, curve: DataFrame) -> DataFrame:
+def minute_chain(
+    raw: DataFrame, turbines: DataFrame, types: DataFrame, curve: DataFrame, day: str | None = None, tz: str | None = None
+) -> DataFrame:
     """All steps of one or many days in one plan."""
-    return ideal_power(staging(clean_ranges(parse_kv(raw)), turbines, types), curve)
+    return ideal_power(staging(clean_ranges(parse_kv(raw, tz=tz)), turbines, types, day=day), curve)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rotorlake.functions import calendar, physics
+from rotorlake.operators.cleaning import remap_ids
 from rotorlake.operators.series import DAY, STEP, expand_seconds, pad_states, split_energy, spread_groups, state_intervals
 
 # 10-minute energies and the names of their shares per second.
@@ -25,19 +26,26 @@ def turbine_sets(logs: dict[str, DataFrame], roster: DataFrame) -> DataFrame:
     return keys.distinct().join(roster.select("wtg_id").distinct(), "wtg_id", "left_semi")
 
 
+def remap_logs(logs: dict[str, DataFrame], aliases: DataFrame, source: str = "idx", target: str = "mdm_id") -> dict[str, DataFrame]:
+    """State logs with turbine ids instead of the logs' own; rows of unknown ids drop."""
+    return {kind: remap_ids(log, aliases, "wtg_id", source, target) for kind, log in logs.items()}
+
+
 def states(logs: dict[str, DataFrame], ten_minute: DataFrame) -> DataFrame:
     """Per-second state table of the turbines and days of the 10-minute output."""
     return pad_states(logs, ten_minute.select("wtg_id", "day").distinct())
 
 
-def production_base(calculated: DataFrame, logs: dict[str, DataFrame]) -> DataFrame:
+def production_base(calculated: DataFrame, logs: dict[str, DataFrame], roster: DataFrame | None = None) -> DataFrame:
     """Energy per second with the states of that second.
 
+    ``roster`` names the (wtg_id, day) pairs of the 10-minute output where they are known without computing it.
+
     Equal to a full outer join of the two per-second tables, but joined as intervals: marks and state
     changes of a turbine-day are merged in time order and only the merged intervals are spread out.
     """
     kinds = list(logs)
-    roster = calculated.select("wtg_id", "day").distinct()
+    roster = calculated.select("wtg_id", "day").distinct() if roster is None else roster
     measures = [c for c in calculated.columns if c not in ("wtg_id", "day", "datatime")]
     shares = split_energy(calculated.withColumn("temoutave", physics.to_celsius(F.col("temoutave"))), ENERGIES)
     energy_fields = ["_mark", *measures, *ENERGIES.values(), *[n + "_last" for n in ENERGIES.values()]]

@@ -10,7 +10,7 @@ from rotorlake.operators.cleaning import convert_units, remap_ids
 from rotorlake.operators.joins import MAX_BROADCAST_BYTES, lookup_join
 from rotorlake.operators.lookup import asof_lookup, bracket_sets
 from rotorlake.operators.quality import quality_flags, real_energy
-from rotorlake.operators.series import fill_grid, last_per
+from rotorlake.operators.series import fill_grid, last_per, off_grid
 from rotorlake.schemas import TEN_MINUTE_MEASURES
 
 RATINGS = ["rated_power", "rated_torque", "on_grid_rotor_speed", "on_grid_generator_speed"]
@@ -19,8 +19,13 @@ CURVES = {"theory": 1, "active": 3}
 
 
 def unique_marks(raw: DataFrame, order: str = "loaded_at") -> DataFrame:
-    """The last loaded row of each (turbine, mark)."""
-    return last_per(raw, ["wtg_id", "datatime"], order, TEN_MINUTE_MEASURES)
+    """The last loaded row of each (turbine, mark); rows between the marks are left out, see ``mark_rejects``."""
+    return last_per(raw.where(~off_grid(F.col("datatime"))), ["wtg_id", "datatime"], order, TEN_MINUTE_MEASURES)
+
+
+def mark_rejects(raw: DataFrame) -> DataFrame:
+    """The rows that lie on no ten-minute mark."""
+    return raw.where(off_grid(F.col("datatime")))
 
 
 def clean(

@@ -122,9 +122,10 @@ def parse_rules(lines: DataFrame, col: str = "value") -> DataFrame:
     )
 
 
-def rules_dict(rules: DataFrame, max_rules: int = 1000) -> dict[str, tuple[float, float]]:
-    """The rules of one table for ``clean_ranges`` and ``range_terms``; a table has some dozen fields."""
-    rows = rules.limit(max_rules + 1).collect()
-    if len(rows) > max_rules:
-        raise ValueError(f"more than {max_rules} rules for the columns of one table")
-    return {r["field"]: (r["low"], r["high"]) for r in rows}
+def rules_dict(rules: DataFrame, columns: list[str]) -> dict[str, tuple[float, float]]:
+    """The rules of a table's columns for ``clean_ranges`` and ``range_terms``: at most one for each column.
+
+    Of several rules of a field the one with the greatest bounds counts.
+    """
+    own = rules.where(F.col("field").isin(*columns)).groupBy("field").agg(F.max(F.struct("low", "high")).alias("r"))
+    return {r["field"]: (r["r"]["low"], r["r"]["high"]) for r in own.collect()}

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rotorlake.functions import calendar
+from rotorlake.operators.joins import lookup_join
 
 ROWS_PER_FILE = 100_000
 RELOAD_BACK = 2
@@ -68,6 +69,12 @@ def reload_days(df: DataFrame, path: str, day_col: str, day: str, keys: list[str
     overwrite_partitions(reload_window(df, day_col, day, back), path, keys)
 
 
+def reload_touched(df: DataFrame, path: str, day_col: str, touched: DataFrame, keys: list[str]) -> None:
+    """Rewrite the partitions of the days in ``touched`` and leave all others alone."""
+    days = touched.where(F.col(day_col).isNotNull()).distinct()
+    overwrite_partitions(lookup_join(df, days, day_col), path, keys)
+
+
 def ring_export(df: DataFrame, path: str, day_col: str, size: int = 100) -> None:
     """Write each day into its slot of a ring of ``size`` partitions, replacing what the slot held."""
     overwrite_partitions(df.withColumn("ring", calendar.ring_number(F.col(day_col), size)), path, ["ring"])

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rotorlake.operators.series import avg_windows
-from rotorlake.sources.tables import reload_days
+from rotorlake.sources.tables import reload_touched
 
 
 def follow_seconds(spark: SparkSession, folder: str, values: list[str], files_per_batch: int = 100) -> DataFrame:
@@ -51,14 +51,11 @@ def latest_per_key(stream: DataFrame, key: str, ts: str) -> DataFrame:
 def reload_each_batch(stream: DataFrame, table: str, source, day_col: str, keys: list[str], checkpoint: str) -> StreamingQuery:
     """On each batch of late rows rewrite the days it touches, from all rows ``source()`` holds for them.
 
-    A batch names the last day to work on; that day and the two before it are replaced as a whole, so a
-    repeated batch changes nothing.
+    Each day is replaced as a whole, so a repeated batch changes nothing.
     """
 
     def rewrite(batch: DataFrame, _: int) -> None:
-        newest = batch.agg(F.max(day_col).cast("string").alias("d")).first()["d"]
-        if newest is not None:
-            reload_days(source(), table, day_col, newest, keys)
+        reload_touched(source(), table, day_col, batch.select(day_col), keys)
 
     return (
         stream.writeStream.foreachBatch(rewrite)

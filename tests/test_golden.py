@@ -5,6 +5,7 @@ import math
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from rotorlake.functions import bits, calendar, physics, text
 from rotorlake.operators import cleaning, mapping, quality, series
@@ -248,5 +249,6 @@ def test_text_and_calendar(spark):
 def test_tables_have_the_fixed_schemas(spark, tmp_path):
     assert len(STANDARD_POINTS) == len(set(STANDARD_POINTS)) == 158 and len(SECOND_STANDARD) == 163
     assert len(MINUTE_WAREHOUSE) == 22 and len(FEATURE) == 14
-    create_table(spark, "feature_schema_test", FEATURE.add("hp_date", "string"), ["hp_date"], str(tmp_path / "t"))
-    assert spark.table("feature_schema_test").schema.names == [*FEATURE.names]
+    partitioned = StructType([*FEATURE.fields, StructField("hp_date", StringType())])
+    create_table(spark, "feature_schema_test", partitioned, ["hp_date"], str(tmp_path / "t"))
+    assert spark.table("feature_schema_test").schema.names == [*FEATURE.names, "hp_date"] and len(FEATURE) == 14

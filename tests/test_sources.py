@@ -60,10 +60,10 @@ def test_delimited_rejects(spark, tmp_path):
 
 def test_rules(spark, tmp_path):
     put(tmp_path / "rules", "T:[213.15,333.15]\n\n# note: [1,2]\nW:(0,50]\nnacelle, -1080, +1080\n")
-    rules = files.rules_dict(files.parse_rules(spark.read.text(str(tmp_path))))
+    parsed = files.parse_rules(spark.read.text(str(tmp_path)))
+    rules = files.rules_dict(parsed, ["T", "W", "nacelle", "unruled"])
     assert rules == {"T": (213.15, 333.15), "W": (0.0, 50.0), "nacelle": (-1080.0, 1080.0)}
-    with pytest.raises(ValueError):
-        files.rules_dict(files.parse_rules(spark.read.text(str(tmp_path))), max_rules=2)
+    assert files.rules_dict(parsed.union(parsed), ["W"]) == {"W": (0.0, 50.0)}
 
 
 def test_log_file_names(spark, tmp_path):

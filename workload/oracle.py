@@ -62,9 +62,10 @@ def _code(field: int) -> str:
 
 
 STEPS = {
-    "marks": f"select wtg_id, datatime, {M} from {{telemetry_10m}} "
+    "marks": f"select wtg_id, datatime, {M} from {{telemetry_10m}} where date_part('minute', datatime) % 10 = 0 "
     "qualify row_number() over (partition by wtg_id, datatime order by loaded_at desc) = 1",
-    "days": "select distinct wtg_id, cast(datatime - interval 1 microsecond as date) as day from {marks}",
+    "days": "select wtg_id, cast(unnest(generate_series(cast(min(datatime) - interval 1 microsecond as date)::timestamp, "
+    "cast(max(datatime) - interval 1 microsecond as date)::timestamp, interval 1 day)) as date) as day from {marks} group by 1",
     "grid": f"""
 select s.wtg_id, s.day, s.datatime, {M}, m.wtg_id is null as is_filled from (
   select wtg_id, day, unnest(generate_series(day::timestamp + interval 10 minute, day::timestamp + interval 1 day, interval 10 minute)) as datatime from {{days}}
@@ -116,8 +117,9 @@ asof left join {curve1} a1 on a1.wtg_id = e.wtg_id and e.ntf_wind_speed_standard
 asof left join {curve1} b1 on b1.wtg_id = e.wtg_id and e.ntf_wind_speed_standard < b1.wind_speed_rank
 asof left join {curve3} a3 on a3.wtg_id = e.wtg_id and e.ntf_wind_speed_standard >= a3.wind_speed_rank
 asof left join {curve3} b3 on b3.wtg_id = e.wtg_id and e.ntf_wind_speed_standard < b3.wind_speed_rank""",
-    "changes": "select wtg_id, kind, starttime, state_id from {state_log} "
-    "qualify row_number() over (partition by wtg_id, kind, starttime order by msec desc) = 1",
+    "changes": "select wtg_id, kind, date_trunc('second', starttime) as starttime, state_id from {state_log} "
+    "qualify row_number() over (partition by wtg_id, kind, date_trunc('second', state_log.starttime) order by state_log.starttime desc, msec desc) = 1",
+    "masters": "select wtg_id, max(master_id) as master_id from {wtg_master} group by 1",
     "seconds": """
 select d.wtg_id, d.day, unnest(generate_series(d.day::timestamp + interval 1 second, d.day::timestamp + interval 1 day, interval 1 second)) as ts
 from {days} d join (select wtg_id, min(starttime) as first from {changes} group by 1) f
@@ -149,7 +151,6 @@ select wtg_id, day, datatime - to_seconds(i) as ts, date_diff('second', day::tim
 from (select *, {shares} from (select wtg_id, day, datatime{extra}, {columns} from {{{source}}}) c) c, (select unnest(range(600)) as i) r"""
 
 
-STEPS["energy_spread"] = _spread("energy", {"real_approduction_10m": "p0"})
 STEPS["calc_spread"] = _spread(
     "calc", {"real_approduction_10m": "p0", "theory_approduction_10m": "p1", "active_approduction_10m": "p2"}, ", temoutave"
 )
@@ -276,7 +277,7 @@ left join curve h on h.wtg_id = s.wtg_id and h.wind_speed_rank = high""",
     "id_remap": "select t.event_id, d.wtg_id from {telemetry} t join {wtg_dim} d on d.idx = concat('S', t.wtg_id)",
     "id_remap_fallback": """
 select l_orderkey, l_linenumber, coalesce(m.master_id, concat('W', cast(l_suppkey as string))) as wtg_id
-from {lineitem} l left join {wtg_master} m on m.wtg_id = concat('W', cast(l_suppkey as string))""",
+from {lineitem} l left join {masters} m on m.wtg_id = concat('W', cast(l_suppkey as string))""",
     "turbine_sets": "select distinct wtg_id from {state_log} intersect select wtg_id from {wtg_dim}",
     "last_record": "select * from {telemetry} qualify row_number() over (partition by wtg_id order by data_time desc) = 1",
     "carry_union": f"""
@@ -294,9 +295,10 @@ select wtg_id, day, nc_id, ss_id, sc_id, count(*) as seconds, min(ts) as first_s
   cast(sum(sod) as bigint) as second_sum
 from {states} group by all""",
     "energy_seconds": f"""
-select wtg_id, day, cast(extract(hour from ts) as integer) as hour, count(*) as seconds, count(p0) as energy_seconds,
-  cast(sum({_e5('p0')}) as bigint) as energy_e5, min({_e5('p0')}) as least_e5, max({_e5('p0')}) as most_e5
-from {{energy_spread}} group by 1, 2, 3""",
+select wtg_id, day, cast(extract(hour from ts) as integer) as hour, count(*) as seconds, {', '.join(
+    f"count({p}) as {p}_seconds, cast(sum({_e5(p)}) as bigint) as {p}_e5, min({_e5(p)}) as {p}_least_e5, max({_e5(p)}) as {p}_most_e5"
+    for p in ('p0', 'p1', 'p2'))}
+from {{calc_spread}} group by 1, 2, 3""",
     "production_base": f"""
 select coalesce(c.wtg_id, s.wtg_id) as wtg_id, coalesce(c.day, s.day) as day, nc_id, ss_id, sc_id, count(*) as seconds,
   cast(sum(coalesce(c.sod, s.sod)) as bigint) as second_sum, count(temoutave) as temperature_seconds,
@@ -340,8 +342,22 @@ select l_orderkey, l_linenumber, concat(f3, '=', v[8], ';', f4, '=', v[9]) as "C
 from (select l_orderkey, l_linenumber, string_split(split_part(line, chr(9), 2), ',') as v from {{protocol_row}}) r
 join (select protocol_id, max(case when pos = 3 then field_desc end) as f3, max(case when pos = 4 then field_desc end) as f4, count(*) as n
       from {{protocol_alias}} group by 1) p on p.protocol_id = v[1] and p.n = len(v) - 4
-left join {{wtg_master}} m on m.wtg_id = v[2]""",
+left join {{masters}} m on m.wtg_id = v[2]""",
+    "state_remap": "select s.wtg_id, kind, starttime, msec, state_id from {state_log} s join {wtg_dim} d on d.idx = concat('S', s.wtg_id)",
 }
+BODIES["minute_chain"] = f"""
+with {_IDEAL_CURVE.strip()},
+parsed as ({BODIES['kv_parse'].strip()}),
+spots as (select t.wtg_id, data_time, case when temp_out_door between -40 and 90 then temp_out_door end as temp_out_door,
+    case when read_wind_speed between 0.5 and 100 then read_wind_speed end as read_wind_speed, wtg_type_name, y.rated_power,
+    floor(read_wind_speed * 2) / 2 as low, ceil(read_wind_speed * 2) / 2 as high
+  from (select * replace (case when read_wind_speed between 0.5 and 100 then read_wind_speed end as read_wind_speed) from parsed) t
+  join {{wtg_dim}} d on d.wtg_id = t.wtg_id join {{wtg_type}} y on y.wtg_type_id = d.wtg_type_id
+  where d.site_type in (1, 2) and date = '{DAY.replace('-', '')}' and t.wtg_id in (select wtg_id from curve))
+select s.* exclude (low, high), round(coalesce(case when low = high then l.power
+  else (h.power - l.power) / (high - low) * (read_wind_speed - low) + l.power end, -1), 6) as ideal_active_power
+from spots s left join curve l on l.wtg_id = s.wtg_id and l.wind_speed_rank = low
+left join curve h on h.wtg_id = s.wtg_id and h.wind_speed_rank = high"""
 
 
 # Days are compared as text: engines hand a date to pandas in different types.

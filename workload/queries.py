@@ -76,6 +76,13 @@ def _calculated(spark, sf):
     return ten_minute.calculate(_clean(spark, sf), *dims)
 
 
+def _roster(spark, sf):
+    """Days of the turbines, from the marks alone."""
+    raw = view(spark, sf, "telemetry_10m").select("wtg_id", "datatime")
+    days = series.days_of(raw.where(~series.off_grid(F.col("datatime"))), "wtg_id", "datatime")
+    return ten_minute.lookup_join(days, view(spark, sf, "wtg_dim").select("wtg_id"), "wtg_id")
+
+
 def _logs(spark, sf):
     log = view(spark, sf, "state_log")
     return {k: log.where(F.col("kind") == k).drop("kind") for k in KINDS}
@@ -220,6 +227,15 @@ def ideal_power(spark, sf):
     return _rounded(minute.ideal_power(_staged(spark, sf), view(spark, sf, "power_curve")), ["ideal_active_power"], 6)
 
 
+@query
+def minute_chain(spark, sf):
+    """One day from text to feature in one plan."""
+    dims = [view(spark, sf, "wtg_dim").drop("rated_power"), view(spark, sf, "wtg_type"), view(spark, sf, "power_curve")]
+    chain = minute.minute_chain(view(spark, sf, "kv_raw"), *dims, day=DAY.replace("-", ""), tz="UTC")
+    cols = ["wtg_id", "data_time", "temp_out_door", "read_wind_speed", "wtg_type_name", "rated_power", "ideal_active_power"]
+    return _rounded(chain.select(*cols), ["ideal_active_power"], 6)
+
+
 # --- ids and sets -------------------------------------------------------------------------------
 
 
@@ -238,6 +254,15 @@ def id_remap_fallback(spark, sf):
     return cleaning.remap_ids(rows, view(spark, sf, "wtg_master"), "wtg_id", "wtg_id", "master_id", keep_unmapped=True)
 
 
+@query
+def state_remap(spark, sf):
+    """State logs that name turbines by their own ids."""
+    logs = {k: log.withColumn("wtg_id", F.concat(F.lit("S"), "wtg_id")) for k, log in _logs(spark, sf).items()}
+    aliases = view(spark, sf, "wtg_dim").select("idx", F.col("wtg_id").alias("mdm_id"))
+    named = [log.withColumn("kind", F.lit(k)) for k, log in per_second.remap_logs(logs, aliases).items()]
+    return named[0].unionByName(named[1]).unionByName(named[2]).select("wtg_id", "kind", "starttime", "msec", "state_id")
+
+
 @query
 def turbine_sets(spark, sf):
     roster = view(spark, sf, "wtg_dim")
@@ -283,7 +308,7 @@ def state_dedupe(spark, sf):
 @query
 def state_seconds(spark, sf):
     """Every second of every turbine-day, reported per combination of states."""
-    seconds = per_second.states(_logs(spark, sf), series.with_carry(view(spark, sf, "telemetry_10m").select("wtg_id", "datatime"), "datatime").where("datatime > cast(day as timestamp_ntz)"))
+    seconds = per_second.states(_logs(spark, sf), _roster(spark, sf))
     return seconds.groupBy("wtg_id", "day", *KINDS).agg(
         F.count(F.lit(1)).alias("seconds"),
         F.min("ts").alias("first_second"),
@@ -295,23 +320,24 @@ def state_seconds(spark, sf):
 @query
 def energy_seconds(spark, sf):
     """Every second of every turbine-day, reported per hour."""
-    cols = dict(list(per_second.ENERGIES.items())[:1])
-    name = next(iter(cols.values()))
-    energy = ten_minute.without_carry(quality.real_energy(_speeds(spark, sf)))
-    spread = series.spread_energy(energy.select("wtg_id", "day", "datatime", *cols), "datatime", cols).withColumnRenamed("datatime", "ts")
-    return spread.groupBy("wtg_id", "day", F.hour("ts").alias("hour")).agg(
-        F.count(F.lit(1)).alias("seconds"),
-        F.count(name).alias("energy_seconds"),
-        F.sum(_e5(name)).alias("energy_e5"),
-        F.min(_e5(name)).alias("least_e5"),
-        F.max(_e5(name)).alias("most_e5"),
-    )
+    cols = per_second.ENERGIES
+    energy = _calculated(spark, sf).select("wtg_id", "day", "datatime", *cols)
+    spread = series.spread_energy(energy, "datatime", cols).withColumnRenamed("datatime", "ts")
+    reports = []
+    for k, name in enumerate(cols.values()):
+        reports += [
+            F.count(name).alias(f"p{k}_seconds"),
+            F.sum(_e5(name)).alias(f"p{k}_e5"),
+            F.min(_e5(name)).alias(f"p{k}_least_e5"),
+            F.max(_e5(name)).alias(f"p{k}_most_e5"),
+        ]
+    return spread.groupBy("wtg_id", "day", F.hour("ts").alias("hour")).agg(F.count(F.lit(1)).alias("seconds"), *reports)
 
 
 @query
 def production_base(spark, sf):
     """Every second with energy and states, reported per combination of states."""
-    seconds = per_second.production_base(_calculated(spark, sf), _logs(spark, sf))
+    seconds = per_second.production_base(_calculated(spark, sf), _logs(spark, sf), _roster(spark, sf))
     return seconds.groupBy("wtg_id", "day", *KINDS).agg(
         F.count(F.lit(1)).alias("seconds"),
         _second_sum(),

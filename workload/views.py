@@ -40,10 +40,11 @@ select event_id, cast(user_id as string) as wtg_id, concat('site', cast(user_id
   cast(event_id % 7000 - 200 as double) as gen_speed,
   value * cast(30 as double) - cast(150 as double) as active_power
 from {events}""",
-    # 10-minute rows: every 11th event repeats the mark before its own, which leaves a gap.
+    # 10-minute rows: every 11th event repeats the mark before its own, which leaves a gap; every fourth turbine is silent
+    # on its third day; a few rows lie between the marks.
     "telemetry_10m": f"""
 select e.event_id as loaded_at, cast(e.n as string) as wtg_id,
-  {BASE} + interval '10' minute * e.k as datatime,
+  {BASE} + interval '10' minute * e.k + interval '1' minute * (case when e.event_id % 503 = 0 then 3 else 0 end) as datatime,
   case when e.event_id % 41 = 0 then null else cast(e.event_id % 70 - 20 {DBL} end as temoutave,
   cast(e.event_id % 400 - 20 {DBL} as winddirectionave,
   cast(e.event_id % 1081 - 540 {DBL} as nacellepositionave,
@@ -65,7 +66,8 @@ select e.event_id as loaded_at, cast(e.n as string) as wtg_id,
   cast(e.event_id % 500 {DBL} as rpconsumed
 from (select event_id, value, cast(floor(event_id / 1008) as bigint) as n,
         greatest(cast(1 as bigint), event_id % 1008 + 1 - case when event_id % 11 = 0 then 1 else 0 end) as k
-      from {{events}}) e""",
+      from {{events}}) e
+where not (e.n % 4 = 1 and e.k between 289 and 432)""",
     "wtg_dim": f"""
 select cast(s_suppkey as string) as wtg_id, concat('S', cast(s_suppkey as string)) as idx,
   cast(s_suppkey % 5 as string) as wtg_type_id, cast(s_suppkey % 4 as int) as site_type, s_nationkey as site_id,
@@ -85,9 +87,9 @@ from {{nation}}""",
 select p_brand as ntf_id, cast(p_size {DBL} / cast(2 {DBL} as rotor_speed,
   max(p_retailprice) / cast(1000000 {DBL} as a, cast(1 {DBL} as b, min(p_retailprice) / cast(10000 {DBL} as c
 from {{part}} group by p_brand, p_size""",
-    # Several rows per point; the newest counts.
+    # Several rows per point; the newest counts. Some rows have no speed.
     "power_curve": f"""
-select cast(l_suppkey as string) as wtg_id, l_quantity / cast(2 {DBL} as wind_speed_rank,
+select cast(l_suppkey as string) as wtg_id, case when l_orderkey % 97 = 0 then null else l_quantity / cast(2 {DBL} end as wind_speed_rank,
   l_extendedprice as active_power, cast(cast(l_shipdate as date) as string) as created_time
 from {{lineitem}}""",
     "wtg_pc": """
@@ -98,11 +100,13 @@ select cast(s_suppkey as string), cast(3 as int), s_suppkey * 2 + 1 from {suppli
 select l_suppkey * 2 + l_linenumber % 2 as pc_id, l_quantity as wind_speed_rank,
   max(l_extendedprice) / cast(100 {DBL} as power
 from {{lineitem}} group by l_suppkey * 2 + l_linenumber % 2, l_quantity""",
-    # Quarter-hour steps, so that several events of one log meet in a second and some fall on midnight.
+    # Quarter-hour steps, so that several events of one log meet in a second and some fall on midnight; most lie within
+    # a second.
     "state_log": f"""
 select cast(e.n as string) as wtg_id,
   case when event_type = 'error' then 'nc_id' when event_type in ('click', 'signup') then 'ss_id' else 'sc_id' end as kind,
-  {BASE} + interval '1' second * (e.d * 86400 + (event_id % 96) * 900 + event_id % 3) as starttime,
+  {BASE} + interval '1' second * (e.d * 86400 + (event_id % 96) * 900 + event_id % 3)
+    + interval '1' millisecond * (event_id % 5 * 200) as starttime,
   cast(event_id % 1000 as int) as msec,
   case when event_id % 13 = 0 then null else cast(event_id % 7 as int) end as state_id
 from (select event_id, event_type, cast(floor(event_id / 1008) as bigint) as n,
@@ -127,12 +131,14 @@ from {lineitem}""",
     "protocol_alias": """
 select cast(n_regionkey as string) as protocol_id, cast(pos as int) as pos, n_name as field_desc,
   case pos when 0 then 'WNAC.WindSpeed' when 1 then 'WGEN.GenActivePW' when 2 then 'WROT.TemHub'
-           when 3 then 'X.Unknown' else 'X.Other' end as field_alias
+           when 3 then 'X.Unknown' else case when n_regionkey % 2 = 0 then 'X.Other' end end as field_alias
 from (select n_regionkey, n_name, row_number() over (partition by n_regionkey order by n_nationkey) - 1 as pos
       from {nation}) p""",
     "wtg_master": """
 select concat('W', cast(n_nationkey as string)) as wtg_id, concat('M', cast(n_nationkey as string)) as master_id
-from {nation}""",
+from {nation}
+union all
+select concat('W', cast(n_nationkey as string)), concat('A', cast(n_nationkey as string)) from {nation} where n_regionkey < 2""",
     "master_list": """
 select cast(s_suppkey as string) as wtg_id,
   case when s_acctbal < 0 then 'NULL' else concat(r_name, '.', n_name, '.', s_name) end as alias, cast(s_nationkey as string) as site_id
