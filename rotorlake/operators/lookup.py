@@ -50,14 +50,16 @@ def bracket_sets(
     rank: str,
     sets: dict[str, Column],
     max_bytes: int = MAX_BROADCAST_BYTES,
+    measured: bool = False,
 ) -> DataFrame:
     """For each named subset of the points add ``<name>_lo`` and ``<name>_hi``, the knots around the value.
 
-    All subsets share one pass over the points and, if these are few, one broadcast.
+    All subsets share one pass over the points and, if these are few, one broadcast. With ``measured`` the caller has
+    measured the points and gives a negative limit if they are too many.
     """
     unique = unique_points(points, key, rank, sets)
     # The rows before de-duplication bound what is sent and need no shuffle to measure.
-    if fits_broadcast(points, max_bytes):
+    if max_bytes >= 0 if measured else fits_broadcast(points, max_bytes):
         looked = df.join(F.broadcast(_knot_arrays(unique, key, sets)), key, "left")
         # One scan of the array gives both neighbours.
         found, places = {}, {}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rotorlake.functions import bits, physics
 from rotorlake.operators.cleaning import convert_units, remap_ids
-from rotorlake.operators.joins import MAX_BROADCAST_BYTES, lookup_join
+from rotorlake.operators.joins import MAX_BROADCAST_BYTES, fits_broadcast, lookup_join
 from rotorlake.operators.lookup import asof_lookup, bracket_sets
 from rotorlake.operators.quality import quality_flags, real_energy
 from rotorlake.operators.series import fill_grid, last_per, off_grid
@@ -113,12 +113,32 @@ def predicted_power(df: DataFrame, curves: DataFrame, max_bytes: int = MAX_BROAD
     return looked.withColumns(out).drop(*[name + side for name in CURVES for side in ("_lo", "_hi")])
 
 
+def assigned_power(df: DataFrame, assignment: DataFrame, points: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``predicted_power`` for curves that many turbines share.
+
+    The fact gets the ids of its turbine's curves, and the points are read by curve, so they are never repeated for
+    each turbine. Of several curves of one type the greatest id counts.
+    """
+    value, rank = "ntf_wind_speed_standard", "wind_speed_rank"
+    own = {f"_{n}_pc": F.max(F.when(F.col("pc_type") == t, F.col("pc_id"))).alias(f"_{n}_pc") for n, t in CURVES.items()}
+    looked = lookup_join(df, assignment.groupBy("wtg_id").agg(*own.values()), "wtg_id", "left")
+    limit = max_bytes if fits_broadcast(points, max_bytes) else -1
+    out = {}
+    for name in CURVES:
+        curve = points.select(F.col("pc_id").alias(f"_{name}_pc"), rank, "power")
+        looked = bracket_sets(looked, curve, f"_{name}_pc", value, rank, {name: F.lit(True)}, limit, measured=True)
+        low, high = F.col(name + "_lo"), F.col(name + "_hi")
+        power = physics.interpolate(low[rank], low["power"], high[rank], high["power"], F.col(value))
+        out |= {f"{name}_power_10m": power, f"{name}_approduction_10m": power / F.lit(6.0)}
+    return looked.withColumns(out).drop(*own, *[name + side for name in CURVES for side in ("_lo", "_hi")])
+
+
 def calculate(
     clean_rows: DataFrame, turbines: DataFrame, sites: DataFrame, ntf: DataFrame, assignment: DataFrame, points: DataFrame
 ) -> DataFrame:
     """The full 10-minute calculation of all turbines and days; carried rows only serve the deltas."""
     speeds = corrected_speeds(transfer_speeds(with_site(clean_rows, turbines, sites, "left"), ntf))
     energy = without_carry(real_energy(speeds))
-    return predicted_power(energy, curve_points(assignment, points)).drop(
+    return assigned_power(energy, assignment, points).drop(
         "altitude", "hub_height", "scada_ntf_id", "site_air_density", "has_ntf", "is_filled"
     )

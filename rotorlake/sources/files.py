@@ -50,10 +50,22 @@ def alias_paths(master: DataFrame, day: str | Column) -> DataFrame:
     )
 
 
+def _folder(file: str) -> Column:
+    """The four folders above a file."""
+    return F.array_join(F.slice(F.split(file, "/"), -5, 4), "/")
+
+
+def unowned_lines(spark: SparkSession, path: str | list[str], ids: DataFrame) -> DataFrame:
+    """Lines (headers too) of files whose folder has no ids, which ``read_header_csv`` leaves out."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value").withColumn("folder", _folder("file"))
+    owned = lookup_join(lines, ids.select("folder", "wtg_id"), "folder", "left")
+    return owned.where("wtg_id is null").select("file", "value")
+
+
 def read_header_csv(spark: SparkSession, path: str | list[str], ids: DataFrame, stop_at_bad: bool = False) -> tuple[DataFrame, DataFrame]:
     """Turbine day files, each with its own header, as (``key:value`` rows, rejected lines).
 
-    ``ids`` gives wtg_id and site_id per folder. Files are read as split lines, so a large file is
+    ``ids`` gives wtg_id and site_id per folder; for other folders see ``unowned_lines``. Files are read as split lines, so a large file is
     shared by many tasks. A row whose field count differs from its file's header is rejected; with
     ``stop_at_bad`` the rest of that file is left out too.
     """
@@ -78,7 +90,7 @@ def read_header_csv(spark: SparkSession, path: str | list[str], ids: DataFrame,
     if stop_at_bad:
         first_bad = checked.where(~fits).groupBy("file").agg(F.min("place").alias("stop"))
         checked = lookup_join(checked, first_bad, "file", "left").where("stop is null or place < stop")
-    folder = F.array_join(F.slice(F.split("file", "/"), -5, 4), "/")
+    folder = _folder("file")
     owned = lookup_join(checked.where(fits).withColumn("folder", folder), ids.select("folder", "wtg_id", "site_id"), "folder")
     own_ids = F.concat(F.lit("site_id:"), F.col("site_id"), F.lit(",wtg_id:"), F.col("wtg_id"))
     row = F.concat_ws(",", pairs_text(F.col("names"), F.col("fields")), own_ids)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rotorlake.operators import cleaning, joins, lookup, mapping, series
 from rotorlake.plans import minute, per_second, ten_minute
-from rotorlake.sources import tables
+from rotorlake.sources import files, tables
 
 LIMITS = pytest.mark.parametrize("max_bytes", [0, joins.MAX_BROADCAST_BYTES])
 
@@ -149,3 +149,28 @@ def test_staging_reads_one_day_of_a_partitioned_table(spark, tmp_path):
     plan = staged._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
     assert [tuple(r) for r in staged.collect()] == [("t", 3.0, 2.0)]
+
+
+@LIMITS
+def test_assigned_curves_are_read_by_curve(spark, max_bytes):
+    points = [(7, 0.0, 1.0), (7, 0.0, 2.0), (7, 1.0, 3.0), (8, 0.0, 6.0), (8, 1.0, 12.0), (None, 0.0, 9.0), (9, None, 1.0)]
+    points = spark.createDataFrame(points, "pc_id int, wind_speed_rank double, power double")
+    assignment = [("t", 1, 7), ("t", 1, 6), ("t", 3, 8), ("u", 1, 9), (None, 1, 7)]
+    assignment = spark.createDataFrame(assignment, "wtg_id string, pc_type int, pc_id int")
+    rows = spark.createDataFrame([("t", 0.25), ("u", 0.5), ("x", 0.5), ("t", None)], "wtg_id string, ntf_wind_speed_standard double")
+    got = ten_minute.assigned_power(rows, assignment, points, max_bytes)
+    assert got.columns == [*rows.columns, "theory_power_10m", "theory_approduction_10m", "active_power_10m", "active_approduction_10m"]
+    found = {(r[0], r[1]): (r["theory_power_10m"], r["active_power_10m"]) for r in got.collect()}
+    assert found == {("t", 0.25): (2.25, 7.5), ("u", 0.5): (None, None), ("x", 0.5): (None, None), ("t", None): (None, None)}
+
+
+def test_lines_of_unknown_folders_are_listed(spark, tmp_path):
+    for place in ("s/t/d/m", "s/u/d/m"):
+        folder = tmp_path / place
+        folder.mkdir(parents=True)
+        (folder / "a.csv").write_text("x,y\n1,2\n3\n")
+    ids = spark.createDataFrame([("s/t/d/m", "t", "s")], "folder string, wtg_id string, site_id string")
+    kept, rejects = files.read_header_csv(spark, str(tmp_path / "*/*/*/*/*.csv"), ids)
+    assert kept.count() == 1 and {r["value"] for r in rejects.collect()} == {"3"}
+    unowned = files.unowned_lines(spark, str(tmp_path / "*/*/*/*/*.csv"), ids).collect()
+    assert sorted(r["value"] for r in unowned) == ["1,2", "3", "x,y"] and all("/u/" in r["file"] for r in unowned)

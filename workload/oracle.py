@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rotorlake.schemas import STANDARD_POINTS, TEN_MINUTE_MEASURES, column_name
+from rotorlake.schemas import FLAG_FIELDS, MINUTE_WAREHOUSE, STANDARD_POINTS, TEN_MINUTE_MEASURES, column_name
 from workload import views
 
 M = ", ".join(TEN_MINUTE_MEASURES)
@@ -345,6 +345,21 @@ join (select protocol_id, max(case when pos = 3 then field_desc end) as f3, max(
 left join {{masters}} m on m.wtg_id = v[2]""",
     "state_remap": "select s.wtg_id, kind, starttime, msec, state_id from {state_log} s join {wtg_dim} d on d.idx = concat('S', s.wtg_id)",
 }
+BODIES["export_files"] = BODIES["export_clean"]
+BODIES["station_partitions"] = " union all ".join(
+    BODIES["weather_station"].replace(DAY, day) for day in (DAY, "2024-01-05")
+)
+BODIES["ring_export"] = BODIES["ring_partition"]
+BODIES["missing_flags"] = "select wtg_id, day, datatime, case when is_filled then cast(1 as bigint) << $MISSING else clean_flag end as clean_flag from {clean}".replace(
+    "$MISSING", str(4 * FLAG_FIELDS.index("missing"))
+)
+BODIES["arity_check"] = """
+select v[1] as wtg_id, v[2] as site_id, cast(v[3] as bigint) as data_time, v[4] as date, cast(v[5] as bigint) as production_active_accum,
+  try_cast(v[6] as bigint) as production_reactive_accum, cast(v[7] as bigint) as consumption_active_accum,
+  cast(v[8] as bigint) as consumption_reactive_accum, $REST
+from (select string_split(value, ',') as v from {warehouse_text}) t where len(v) = 22""".replace(
+    "$REST", ", ".join(f"try_cast(v[{k}] as double) as {f.name}" for k, f in enumerate(MINUTE_WAREHOUSE.fields, 1) if k > 8)
+)
 BODIES["minute_chain"] = f"""
 with {_IDEAL_CURVE.strip()},
 parsed as ({BODIES['kv_parse'].strip()}),
@@ -364,7 +379,7 @@ left join curve h on h.wtg_id = s.wtg_id and h.wind_speed_rank = high"""
 DAY_COLUMNS = {
     "rolling_reload": "hp_date",
     **dict.fromkeys(
-        "grid_fill counter_delta state_seconds im_flags air_density grouped_map date_spine energy_seconds production_base".split(), "day"
+        "grid_fill counter_delta state_seconds im_flags missing_flags air_density grouped_map date_spine energy_seconds production_base".split(), "day"
     ),
 }
 

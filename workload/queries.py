@@ -13,7 +13,7 @@ from rotorlake.functions import bits, calendar
 from rotorlake.functions.text import partition_spec
 from rotorlake.operators import cleaning, mapping, quality, series
 from rotorlake.plans import minute, per_second, station, ten_minute
-from rotorlake.schemas import COUNTERS, TEN_MINUTE_MEASURES, column_name, create_table
+from rotorlake.schemas import COUNTERS, STATION_MEASURES, TEN_MINUTE_MEASURES, column_name, create_table
 from rotorlake.session import shared_folder
 from rotorlake.sources import files, relational, tables
 from workload.views import view
@@ -156,6 +156,46 @@ def export_clean(spark, sf):
     return _clean(spark, sf).select(*ten_minute.CLEAN_COLUMNS)
 
 
+@query
+def export_files(spark, sf):
+    """Raw marks as one folder of files for each kind of day, read together, cleaned and written as the export."""
+    base = shared_folder(spark, "raw-marks")
+    raw = view(spark, sf, "telemetry_10m").withColumn("part", F.pmod(F.dayofmonth("datatime"), F.lit(3)))
+    raw.write.partitionBy("part").parquet(base)
+    read = spark.read.schema(raw.drop("part").schema).parquet(*[f"{base}/part={k}" for k in range(3)])
+    clean = ten_minute.clean(read, view(spark, sf, "wtg_dim")).select("day", *ten_minute.CLEAN_COLUMNS)
+    path = shared_folder(spark, "export")
+    tables.overwrite_partitions(clean.withColumn("month", F.date_format("day", "yyyyMM")), path, ["month"])
+    return spark.read.parquet(path).select(*ten_minute.CLEAN_COLUMNS)
+
+
+@query
+def station_partitions(spark, sf):
+    """The station extract of two days, written to their partitions; the second day is written twice."""
+    path = shared_folder(spark, "station")
+    for day in (DAY, "2024-01-05", "2024-01-05"):
+        tables.overwrite_partitions(station.weather_station(view(spark, sf, "fact_10m"), day), path, ["hp_date", "hp_ds"])
+    back = spark.read.parquet(path)
+    return back.withColumns({c: F.col(c).cast("string") for c in ("hp_date", "hp_ds")}).select(
+        "site_id", "wtg_id", "date_time", "p_date", *STATION_MEASURES, "hp_date", "hp_ds"
+    )
+
+
+@query
+def ring_export(spark, sf):
+    """Days in their slots of the ring."""
+    path = shared_folder(spark, "ring")
+    rows = view(spark, sf, "telemetry").select("event_id", F.to_date("data_time").alias("day"))
+    tables.ring_export(rows, path, "day")
+    return spark.read.parquet(path).select("event_id", F.col("ring").cast("int").alias("ring"))
+
+
+@query
+def arity_check(spark, sf):
+    """Comma text of the 1-minute table; rows with a field too many are left out."""
+    return cleaning.parse_warehouse_text(view(spark, sf, "warehouse_text"))
+
+
 @query
 def partition_overwrite(spark, sf):
     """All days are written, then the days after the 10th once more with other values."""
@@ -394,6 +434,13 @@ def im_flags(spark, sf):
     return _clean(spark, sf).select("wtg_id", "day", "datatime", "clean_flag")
 
 
+@query
+def missing_flags(spark, sf):
+    """Missing rows with the one code for them."""
+    raw, dim = view(spark, sf, "telemetry_10m"), view(spark, sf, "wtg_dim")
+    return ten_minute.clean(raw, dim, missing_rows="flag").select("wtg_id", "day", "datatime", "clean_flag")
+
+
 @query
 def rated_flags(spark, sf):
     marks = ten_minute.unique_marks(view(spark, sf, "telemetry_10m"))

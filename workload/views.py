@@ -121,6 +121,13 @@ select event_id, concat('wtg_id:', cast(user_id as string), ',SITE_ID:', event_t
   ',readwindspeed:', case when event_id % 23 = 0 then 'N/A' else cast(cast(floor(value) as bigint) as string) end,
   case when event_id % 17 = 0 then ',TEMOUT:99' else '' end,
   ',approduction:', cast(event_id * 7 as string)) as all_key_value
+from {events}""",
+    # Rows of the 1-minute table as text; some with a field too many, some with values that are no numbers.
+    "warehouse_text": """
+select concat_ws(',', cast(user_id as string), 'site', cast(event_id as string), '20240104', cast(event_id * 7 as string),
+  case when event_id % 9 = 0 then 'N/A' else cast(event_id as string) end, '1', '2', cast(event_id % 70 - 20 as string), '3', '4', '5', '6',
+  '7.5', case when event_id % 8 = 0 then 'bad' else cast(event_id % 30 as string) end, '8', '9', '10', '11', '12',
+  '13', '0', case when event_id % 19 = 0 then 'extra' end) as value
 from {events}""",
     "protocol_row": """
 select l_orderkey, l_linenumber, concat('k', chr(9), case when l_returnflag = 'N' and l_linenumber = 7 then 'x' else cast(l_linenumber as string) end,
