@@ -62,10 +62,6 @@ def quality_flags(grid: DataFrame, missing_rows: str = "fields") -> DataFrame:
     return with_previous.withColumn("clean_flag", flag).drop("previous_approduction")
 
 
-def decode_flags(df: DataFrame, flag: str = "clean_flag", out: str = "reasons") -> DataFrame:
-    return df.withColumn(out, bits.flag_labels(F.col(flag)))
-
-
 def real_energy(df: DataFrame) -> DataFrame:
     """Energy of each 10 minutes from the counters, nulled with an error map where it cannot be trusted."""
     flag = F.col("clean_flag")

@@ -102,8 +102,8 @@ def days_of(df: DataFrame, key: str, ts: str, last_day: str | None = None) -> Da
 
     Rows at midnight belong to the day that ends there.
     """
-    span = df.where(F.col(ts).isNotNull()).groupBy(key).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
-    first, last = calendar.measuring_day(F.col("_first")), calendar.measuring_day(F.col("_last"))
+    span = day_span(df.where(F.col(ts).isNotNull()), [key], ts)
+    first, last = calendar.measuring_day(F.col("first_time")), calendar.measuring_day(F.col("last_time"))
     if last_day is not None:
         last = F.greatest(last, F.lit(last_day).cast("date"))
     return span.select(key, F.explode(F.sequence(first, last)).alias("day"))

@@ -92,11 +92,6 @@ def corrected_speeds(df: DataFrame, kelvin_input: bool = False) -> DataFrame:
     )
 
 
-def curve_points(assignment: DataFrame, points: DataFrame) -> DataFrame:
-    """Curve assignment with the curve's points: (wtg_id, pc_type, wind_speed_rank, power)."""
-    return points.join(assignment, "pc_id").select("wtg_id", "pc_type", "wind_speed_rank", "power")
-
-
 def predicted_power(df: DataFrame, curves: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Power between the two curve points around the standard speed, energy of 10 minutes; null outside the curve.
 
