@@ -12,7 +12,7 @@ that set them apart by ``DEVIATIONS`` standard deviations or more. Scoring cover
 
 Defined results: a null or empty text has no features and the score that goes with that; repeated rows score alike;
 without positives, or without text, every score is 0; the class prior is the share of toxic rows among the labelled
-training rows unless it is given; labels of ids that have several count each.
+training rows unless it is given, and ``MAX_PRIOR`` at most; labels of ids that have several count each.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ FEATURES = 3_000
 MIN_SHARE, DEVIATIONS, LIFT = 0.002, 6.0, 3.0
 PREFIXES = (3, 4, 5, 6)
 THRESHOLD = 0.3
+#: Labelled rows may be chosen for being toxic; a text without any evidence stays below the threshold all the same.
+MAX_PRIOR = 0.25
 STEPS, RATE, DECAY, GAMMA = 400, 0.05, 1e-4, 1.0
 
 _WHOLE = np.uint64(0x51A3C6D7E98B24F1)
@@ -127,7 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Callable[[Column], Colum
     spark = docs.sparkSession
     known = labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("toxic")).where(training(F.col("id")) & F.col("toxic").isNotNull())
     share = known.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
-    prior = min(max(share if prior is None else prior, 1e-4), 0.9)
+    prior = min(max(share if prior is None else prior, 1e-4), MAX_PRIOR)
     by_hash = lambda df, n: df.distinct().orderBy(F.xxhash64("id"), "id").limit(n)
     toxic = by_hash(known.where("toxic = 1").select("id"), MAX_POSITIVE).withColumn("positive", F.lit(True))
     others = docs.select(F.col(doc_id).alias("id")).where(training(F.col("id")) & F.col("id").isNotNull())
@@ -168,7 +170,9 @@ def train(docs: DataFrame, labels: DataFrame, training: Callable[[Column], Colum
     lists = got.column("hits").combine_chunks()
     sizes = np.diff(lists.offsets.to_numpy())
     weights, bias = fit(np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy(), got.column("positive").to_numpy(), len(keys), prior)
-    return keys, weights, bias
+    # All features speak for the positives, so a text without any is at most as likely as the prior; on small samples
+    # the corrected risk leaves the bias open.
+    return keys, weights, min(bias, float(np.log(prior / (1 - prior))))
 
 
 def scores(docs: DataFrame, model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -82,3 +82,11 @@ def test_toxicity_of_odd_rows(spark):
     assert none is None and {r.score for r in toxicity.scores(docs, none).collect()} == {0.0}
     empty = samples.docs(spark, [])
     assert toxicity.train(empty, labels, every) is None and toxicity.scores(empty, None).collect() == []
+
+
+def test_texts_without_evidence_stay_on_small_samples(spark):
+    folder = "/root/testdata/sf0.001"
+    docs, labels = (spark.read.parquet(f"{folder}/{x}.parquet") for x in ("documents", "labels"))
+    kept = toxicity.clean(docs, labels, lambda i: F.lit(True))
+    clean = labels.where("toxic = 0")
+    assert kept.join(clean, "doc_id").count() >= 0.95 * docs.join(clean, "doc_id").count()
