@@ -108,9 +108,13 @@ class Parts:
     count: int
 
 
-def spread(docs: DataFrame, part_bytes: int = PART_BYTES, min_parts: int = MIN_PARTS) -> Parts:
-    """Deal documents (columns doc_id: long, text) into parts."""
+Signer = Callable[[np.ndarray, np.ndarray], np.ndarray]
+
+
+def spread(docs: DataFrame, part_bytes: int | None = None, min_parts: int | None = None, sign: Signer | None = None) -> Parts:
+    """Deal documents (columns doc_id: long, text) into parts; ``sign`` gives each text of a piece a number to keep."""
     spark = docs.sparkSession
+    part_bytes, min_parts = part_bytes or PART_BYTES, min_parts or MIN_PARTS
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = 1 << max(min_parts - 1, -(-total // part_bytes) - 1, 0).bit_length()
 
@@ -121,20 +125,21 @@ def spread(docs: DataFrame, part_bytes: int = PART_BYTES, min_parts: int = MIN_P
 
         def flush() -> pa.RecordBatch:
             rows = sorted(held.items())
-            ids = [np.concatenate([x for x, _, _ in own]).tobytes() for _, own in rows]
-            sizes = [np.concatenate([x for _, x, _ in own]).tobytes() for _, own in rows]
-            blobs = [packer.compress(b"".join(x for _, _, x in own)) for _, own in rows]
+            fixed = [[np.concatenate([x[c] for x in own]).tobytes() for _, own in rows] for c in range(3)]
+            blobs = [packer.compress(b"".join(x[3] for x in own)) for _, own in rows]
+            columns = [pa.array([k for k, _ in rows], pa.int32()), *(pa.array(x, pa.binary()) for x in (*fixed, blobs))]
             held.clear()
-            columns = [pa.array([k for k, _ in rows], pa.int32()), *(pa.array(x, pa.binary()) for x in (ids, sizes, blobs))]
-            return pa.RecordBatch.from_arrays(columns, names=["part", "ids", "sizes", "blob"])
+            return pa.RecordBatch.from_arrays(columns, names=["part", "ids", "sizes", "signs", "blob"])
 
         for batch, bounds, data in texts.pieces(batches, "text"):
             ids = batch.column("doc_id").fill_null(int(NO_ID)).to_numpy().astype(np.int64)
             sizes = np.diff(bounds)
             part = texts.mix(ids.view(np.uint64) * np.uint64(31) + sizes.astype(np.uint64)) & np.uint64(count - 1)
+            signs = sign(bounds, data) if sign else np.zeros(0, np.uint64)
             raw = data.tobytes()
             for k, p in enumerate(part.tolist()):
-                held.setdefault(p, []).append((ids[k : k + 1], sizes[k : k + 1], raw[bounds[k] : bounds[k + 1]]))
+                own = slice(k, k + 1)
+                held.setdefault(p, []).append((ids[own], sizes[own], signs[own], raw[bounds[k] : bounds[k + 1]]))
             size += len(raw)
             if size >= FLUSH_BYTES:
                 size = 0
@@ -142,14 +147,20 @@ def spread(docs: DataFrame, part_bytes: int = PART_BYTES, min_parts: int = MIN_P
         if held:
             yield flush()
 
-    rows = docs.mapInArrow(deal, "part int, ids binary, sizes binary, blob binary")
+    rows = docs.mapInArrow(deal, "part int, ids binary, sizes binary, signs binary, blob binary")
     name = f"rotorlake_parts_{uuid.uuid4().hex}"
     rows.repartition(count, "part").write.bucketBy(count, "part").option("compression", "none").saveAsTable(name)
     return Parts(spark.table(name), count)
 
 
+def signed(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and signs of a part's texts."""
+    read = lambda c, kind: [np.frombuffer(rows.column(c)[k].as_buffer(), kind) for k in range(rows.num_rows)]
+    return np.concatenate(read("ids", np.int64)), np.concatenate(read("signs", np.uint64))
+
+
 def documents(rows: pa.Table, max_bytes: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Ids, bounds and bytes of the texts of a part, in pieces."""
+    """Ids, bounds and bytes of the texts of a part, in pieces, in the order of ``signed``."""
     for k in range(rows.num_rows):
         ids = np.frombuffer(rows.column("ids")[k].as_buffer(), np.int64)
         sizes = np.frombuffer(rows.column("sizes")[k].as_buffer(), np.int64)
@@ -189,8 +200,9 @@ class Replies:
 Emit = Callable[[pa.Table, Replies], dict[str, Run]]
 
 
-def ask(parts: Parts, emit: Emit, replies: DataFrame | None = None) -> DataFrame:
-    """One round; rows of the reply: part, kind, data."""
+def ask(parts: Parts, emit: Emit, told: dict[str, tuple[int, ...]], replies: DataFrame | None = None) -> DataFrame:
+    """One round; rows of the reply: part, kind, data. ``told`` names the columns of the reply for each kind of
+    question: 1 the smallest value, 2 the largest, 3 and on the sums."""
     bits = parts.count.bit_length() - 1
 
     def asked(rows: pa.Table, back: pa.Table | None) -> pa.Table:
@@ -219,7 +231,7 @@ def ask(parts: Parts, emit: Emit, replies: DataFrame | None = None) -> DataFrame
             mine = at[known[0][at] == block[0]] if len(known[0]) else at[:0]
             if len(mine):
                 names.append(part)
-                data.append(pack(tuple(x[mine] for x in known)))
+                data.append(pack(tuple(known[x][mine] for x in (0, *told[key[0].as_py()]))))
         kind = pa.array([key[0].as_py()] * len(names), pa.string())
         return pa.table([pa.array(names, pa.int32()), kind, pa.array(data, pa.binary())], names=["part", "kind", "data"])
 

@@ -92,7 +92,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words
     ``kept``, the text that stays. ``text_hash`` is xxhash64 of the text."""
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     parts = exchange.spread(source)
-    found = exchange.ask(parts, lambda rows, _: _digests(rows, min_words))
+    found = exchange.ask(parts, lambda rows, _: _digests(rows, min_words), {"unit": (1,)})
 
     def cut(rows: pa.Table, back: pa.Table) -> pa.Table:
         replies, out = exchange.Replies(back), []

@@ -5,10 +5,11 @@ first, so each set is a path in a trie. Two sets with a similarity of 0.8 share
 ``n - ceil(0.8 n) + 1``; the trie is therefore cut at these n-grams, and each makes a subtree that is joined by itself.
 Equal sets are one path.
 
-1. Parts exchange the first n-grams in hash order; sets that share none have no partner and end here.
+1. Parts exchange the first n-grams in hash order; sets of which too few are shared have no partner and end here.
 2. The others exchange all n-grams and get back those that some other set holds, with their frequencies. A set of
    which less than 0.8 is shared ends here; the others now have their path.
-3. In each subtree the most typical set (fewest n-grams of its own) is the pivot. All others are verified against it:
+3. In each subtree the most typical set (fewest n-grams of its own) is the pivot. Sets are verified against the pivot
+   that they meet in most subtrees:
    the paths of a block of candidates are walked in order, what neighbours share is counted once, and a subtree is left
    as soon as the overlap so far and the remaining lengths cannot reach the bound. Links make components.
 4. Pairs in one subtree but different components are all that is left. Further rounds take other pivots, and what then
@@ -36,7 +37,7 @@ BLOCK = 2000
 _rng = np.random.default_rng(5)
 _PLACE = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _COUNT = 0xA24BAED4963EE407
-_SIGN = np.uint64(0x9FB21C651E98DF25)
+_KEY = np.uint64(0xFFFFFFFFFFFF0000)
 
 
 def _sized(n: int) -> np.uint64:
@@ -48,71 +49,117 @@ def needed(n):
     return (4 * n + 4) // 5
 
 
+def looked_at(n: int) -> int:
+    """Number of first n-grams that are exchanged: so many that the first tenth of what a set shares with a partner
+    is among them in both."""
+    return n - needed(n) + -(-n // 10)
+
+
 def prefix(n):
     """Number of first n-grams of which any partner shares one."""
     return n - needed(n) + 1
 
 
-def sets(bounds: np.ndarray, data: np.ndarray, words: int) -> list[np.ndarray]:
-    """Each text's distinct n-grams in hash order."""
+def sign(bounds: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """A hash of each text's words in order; 0 stands for no words. Texts with equal hashes have equal sets."""
+    row, _, _, h = texts.word_hashes(bounds, data, texts.SPACED)
+    up, down = texts.powers(len(h) + 1)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[: len(h)], dtype=np.uint64)])
+    at = np.searchsorted(row, np.arange(len(bounds)))
+    count = np.diff(at).astype(np.uint64)
+    return np.where(count > 0, texts.mix((total[at[1:]] - total[at[:-1]]) * down[at[:-1]] + count) | np.uint64(1), np.uint64(0))
+
+
+def sets(bounds: np.ndarray, data: np.ndarray, words: int, wanted: np.ndarray) -> dict[int, np.ndarray]:
+    """The distinct n-grams in hash order of the wanted texts that have any, by row."""
     row, _, _, h = texts.word_hashes(bounds, data, texts.SPACED)
-    count = len(bounds) - 1
-    first = np.searchsorted(row, np.arange(count + 1))
+    first = np.searchsorted(row, np.arange(len(bounds))).tolist()
     total = np.full(max(0, len(h) - words + 1), _sized(words))
     for k in range(words):
         total += h[k : k + len(total)] * _PLACE[k]
-    total, out = texts.mix(total), []
-    for r in range(count):
-        a, b = int(first[r]), int(first[r + 1])
+    total, out = texts.mix(total), {}
+    for r in np.flatnonzero(wanted).tolist():
+        a, b = first[r], first[r + 1]
         if b - a >= words:
-            out.append(np.unique(total[a : b - words + 1]))
+            own = np.sort(total[a : b - words + 1])
+            new = np.empty(len(own), np.bool_)
+            new[0] = True
+            np.not_equal(own[1:], own[:-1], out=new[1:])
+            out[r] = own[new]
         elif b > a:
-            out.append(texts.mix(np.sum(h[a:b] * _PLACE[: b - a], dtype=np.uint64, keepdims=True) + _sized(b - a)))
-        else:
-            out.append(np.zeros(0, np.uint64))
+            out[r] = texts.mix(np.sum(h[a:b] * _PLACE[: b - a], dtype=np.uint64, keepdims=True) + _sized(b - a))
     return out
 
 
-def sign(own: np.ndarray) -> np.uint64:
-    """A hash of a set."""
-    return texts.mix(np.sum(texts.mix(own ^ _SIGN), dtype=np.uint64, keepdims=True) + _sized(len(own)))[0]
-
-
-def _run(keys: list[np.ndarray], values: list, ones: bool = False) -> exchange.Run:
-    """Entries of several sets; ``values`` has one for each set."""
+def _run(keys: list[np.ndarray], docs: list[int], ones: bool = False) -> exchange.Run:
+    """Entries of several sets with their documents; keys are cut to 48 bits, which only choose candidates."""
     sizes = list(map(len, keys))
-    key = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-    value = np.repeat(np.array(values, np.uint64), sizes) if keys else key
+    key = np.concatenate(keys) & _KEY if keys else np.zeros(0, np.uint64)
+    value = np.repeat(exchange.ranked(np.array(docs, np.int64)), sizes)
     return exchange.condensed(key, value, value, *([np.ones(len(key), np.uint64)] if ones else []))
 
 
-def _first(rows: pa.Table, _: exchange.Replies, words: int) -> dict[str, exchange.Run]:
-    """The first n-grams of each set with the set's hash, and sets' hashes with their documents."""
-    made, docs, kinds = [], [], []
+def _same(rows: pa.Table, _: exchange.Replies) -> dict[str, exchange.Run]:
+    """Signs with their documents."""
+    ids, signs = exchange.signed(rows)
+    real = signs > 0
+    doc = exchange.ranked(ids[real])
+    return {"set": exchange.condensed(signs[real], doc, doc)}
+
+
+def _leads(rows: pa.Table, replies: exchange.Replies) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, signs, first document with the same words, and whether the row stands for all of these."""
+    ids, signs = exchange.signed(rows)
+    hit, least, *_ = replies.find("set", signs)
+    lead = np.where(hit, exchange.unranked(least), ids)
+    own = np.flatnonzero((signs > 0) & (lead == ids))
+    stands = np.zeros(len(ids), np.bool_)
+    stands[own[np.unique(signs[own], return_index=True)[1]]] = True
+    return ids, signs, lead, stands
+
+
+def _standing(rows: pa.Table, replies: exchange.Replies, words: int):
+    """Id and set of each text that stands for all with its words."""
+    _, _, _, stands = _leads(rows, replies)
+    at = 0
     for ids, bounds, data in exchange.documents(rows):
-        own = sets(bounds, data, words)
-        signs = [sign(x) for x in own]
-        full = [k for k, x in enumerate(own) if len(x)]
-        made.append(_run([own[k][: prefix(len(own[k]))] for k in full], [signs[k] for k in full]))
-        kinds.append(np.array([signs[k] for k in full], np.uint64))
-        docs.append(exchange.ranked(ids)[full])
-    kind, doc = np.concatenate(kinds), np.concatenate(docs)
-    return {"first": exchange.condensed(*map(np.concatenate, zip(*made, strict=True))), "set": exchange.condensed(kind, doc, doc)}
+        for r, own in sets(bounds, data, words, stands[at : at + len(ids)]).items():
+            yield int(ids[r]), own
+        at += len(ids)
+
+
+def _first(rows: pa.Table, replies: exchange.Replies, words: int) -> dict[str, exchange.Run]:
+    """The first n-grams in hash order of each set."""
+    made, keys, docs = [], [], []
+    for doc, own in _standing(rows, replies, words):
+        keys.append(own[: looked_at(len(own))])
+        docs.append(doc)
+        if len(keys) == 2000:
+            made.append(_run(keys, docs))
+            keys, docs = [], []
+    made.append(_run(keys, docs))
+    return {"first": exchange.condensed(*map(np.concatenate, zip(*made, strict=True)))}
+
+
+def _open(own: np.ndarray, replies: exchange.Replies) -> bool:
+    """Whether enough of a set's first n-grams are shared for it to have a partner."""
+    lead = own[: looked_at(len(own))] & _KEY
+    # The smaller partner has at least needed(n) n-grams and has sent a tenth of what is shared too.
+    return int(replies.find("first", lead)[0].sum()) >= -(-needed(len(own)) // 10)
 
 
 def _tokens(rows: pa.Table, replies: exchange.Replies, words: int) -> dict[str, exchange.Run]:
-    """All n-grams of the sets that share a first one, each set once a part."""
-    seen, made = set(), []
-    for _, bounds, data in exchange.documents(rows):
-        keys, values = [], []
-        for own in sets(bounds, data, words):
-            if len(own) and replies.find("first", own[: prefix(len(own))])[0].any() and (s := sign(own)) not in seen:
-                seen.add(s)
-                keys.append(own)
-                values.append(s)
-        if keys:
-            made.append(_run(keys, values, ones=True))
-    return {"token": exchange.condensed(*map(np.concatenate, zip(*made, strict=True)))} if made else {}
+    """All n-grams of the sets that may have a partner."""
+    made, keys, docs = [], [], []
+    for doc, own in _standing(rows, replies, words):
+        if _open(own, replies):
+            keys.append(own)
+            docs.append(doc)
+            if len(keys) == 1000:
+                made.append(_run(keys, docs, ones=True))
+                keys, docs = [], []
+    made.append(_run(keys, docs, ones=True))
+    return {"token": exchange.condensed(*map(np.concatenate, zip(*made, strict=True)))}
 
 
 def paths(parts: exchange.Parts, words: int) -> DataFrame:
@@ -121,34 +168,37 @@ def paths(parts: exchange.Parts, words: int) -> DataFrame:
     ``path`` has the shared n-grams in global order, ``rare`` is the number of the others, which come before them. Only
     the first document of a set that may have partners has a path.
     """
-    first = exchange.ask(parts, lambda rows, back: _first(rows, back, words))
-    tokens = exchange.ask(parts, lambda rows, back: _tokens(rows, back, words), first)
+    same = exchange.ask(exchange.Parts(parts.table.select("part", "ids", "signs"), parts.count), _same, {"set": (1,)})
+    first = exchange.ask(parts, lambda rows, back: _first(rows, back, words), {"first": ()}, same)
+    known = same.unionByName(first)
+    tokens = exchange.ask(parts, lambda rows, back: _tokens(rows, back, words), {"token": (3,)}, known)
 
     def ordered(rows: pa.Table, back: pa.Table) -> pa.Table:
-        replies, seen, out = exchange.Replies(back), set(), []
-        for ids, bounds, data in exchange.documents(rows):
-            for doc, own in zip(ids, sets(bounds, data, words), strict=True):
-                n, name = len(own), None if doc == exchange.NO_ID else int(doc)
-                if not n:
-                    out.append((name, 0, None, None, None, None))
-                    continue
-                s = sign(own)
-                hit, least, *_ = replies.find("set", np.array([s]))
-                lead = exchange.unranked(least)[0] if hit[0] else doc
-                rare, path = None, None
-                if lead == doc and s not in seen and replies.find("first", own[: prefix(n)])[0].any():
-                    seen.add(s)
-                    shared, _, _, count = replies.find("token", own)
-                    if int(shared.sum()) >= needed(n):
-                        rare = n - int(shared.sum())
-                        path = own[shared][np.argsort(count[shared], kind="stable")].tobytes()
-                out.append((name, n, int(s.view(np.int64)), int(lead), rare, path))
-        columns = list(zip(*out, strict=True)) or [[]] * 6
-        kinds = [pa.int64()] * 4 + [pa.int64(), pa.binary()]
-        names = ["doc_id", "n", "set", "doc", "rare", "path"]
-        return pa.table([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=names)
-
-    known = first.unionByName(tokens)
+        replies = exchange.Replies(back)
+        ids, signs, lead, stands = _leads(rows, replies)
+        size, rare, path = np.zeros(len(ids), np.int64), [None] * len(ids), [None] * len(ids)
+        at = 0
+        for piece, bounds, data in exchange.documents(rows):
+            for r, own in sets(bounds, data, words, np.ones(len(piece), np.bool_)).items():
+                size[at + r] = len(own)
+                if stands[at + r] and _open(own, replies):
+                    shared, count, *_ = replies.find("token", own & _KEY)
+                    if int(shared.sum()) >= needed(len(own)):
+                        rare[at + r] = len(own) - int(shared.sum())
+                        path[at + r] = own[shared][np.argsort(count[shared], kind="stable")].tobytes()
+            at += len(piece)
+        none = signs == 0
+        columns = [
+            pa.array(ids, mask=ids == exchange.NO_ID),
+            pa.array(size),
+            pa.array(signs.view(np.int64), mask=none),
+            pa.array(lead, mask=none),
+            pa.array(rare, pa.int64()),
+            pa.array(path, pa.binary()),
+        ]
+        return pa.table(columns, names=["doc_id", "n", "set", "doc", "rare", "path"])
+
+    known = known.unionByName(tokens)
     schema = "doc_id long, n long, set long, doc long, rare long, path binary"
     return graph.kept(parts.table.groupBy("part").cogroup(known.groupBy("part")).applyInArrow(ordered, schema), "paths")
 
@@ -231,8 +281,10 @@ def join(found: DataFrame) -> DataFrame:
     trees = subtrees(found)
     typical = F.struct((F.col("rare") / F.col("n")).alias("own"), "set", "n")
     pivots = trees.groupBy("token").agg(F.min(typical).alias("p")).select("token", F.col("p.set").alias("b"), F.col("p.n").alias("m"))
-    pairs = trees.join(pivots, "token").where((F.col("set") != F.col("b")) & _like("n", "m"))
-    pairs = graph.kept(pairs.select(F.col("set").alias("a"), "b").distinct(), "pairs")
+    near = trees.join(pivots, "token").where((F.col("set") != F.col("b")) & _like("n", "m"))
+    # Of a set's pivots the one that it meets most often.
+    near = near.groupBy("set", "b").agg(F.count(F.lit(1)).alias("c")).groupBy("set").agg(F.max(F.struct("c", "b")).alias("x"))
+    pairs = graph.kept(near.select(F.col("set").alias("a"), F.col("x.b").alias("b")), "pairs")
     links, tried = verify(pairs, found), pairs
     roots = graph.components(links)
     for turn in range(ROUNDS):
@@ -262,7 +314,7 @@ def join(found: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (the smallest id that its links reach)."""
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    found = paths(exchange.spread(source), words)
+    found = paths(exchange.spread(source, sign=sign), words)
     roots = join(found)
     named = found.where("path is not null").select("set", "doc").join(roots.withColumnRenamed("node", "set"), "set", "left")
     named = named.withColumn("root", F.coalesce("root", "set"))

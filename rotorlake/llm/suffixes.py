@@ -160,9 +160,9 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
     """One row per document: sizes, removed spans (byte from, to pairs), digest of what stays, and ``kept`` itself."""
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     parts = exchange.spread(source)
-    seeds = exchange.ask(parts, lambda rows, back: _seeds(rows, back, length))
-    kinds = exchange.ask(parts, lambda rows, back: _kinds(rows, back, length), seeds)
-    strings = exchange.ask(parts, lambda rows, back: _strings(rows, back, length), kinds)
+    seeds = exchange.ask(parts, lambda rows, back: _seeds(rows, back, length), {"seed": ()})
+    kinds = exchange.ask(parts, lambda rows, back: _kinds(rows, back, length), {"unit": (1,), "several": ()}, seeds)
+    strings = exchange.ask(parts, lambda rows, back: _strings(rows, back, length), {"string": (1,)}, kinds)
 
     def cut(rows: pa.Table, back: pa.Table) -> pa.Table:
         replies, out = exchange.Replies(back), []
