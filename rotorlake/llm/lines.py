@@ -75,10 +75,9 @@ def _gone(ids: np.ndarray, bounds: np.ndarray, data: np.ndarray, replies: exchan
     gone |= long_ & same
     # A run of short units goes if the units on both of its sides do.
     place = np.arange(len(row))
-    anchor = long_ | (count == 0) & (last - first == 0)
-    before = np.maximum.accumulate(np.where(anchor, place, -1))
-    after = np.minimum.accumulate(np.where(anchor, place, len(row))[::-1])[::-1]
-    inner = ~anchor & (before >= 0) & (after < len(row))
+    before = np.maximum.accumulate(np.where(long_, place, -1))
+    after = np.minimum.accumulate(np.where(long_, place, len(row))[::-1])[::-1]
+    inner = ~long_ & (before >= 0) & (after < len(row))
     b, a = before[inner], after[inner]
     gone[inner] = gone[b] & gone[a] & (row[b] == row[inner]) & (row[a] == row[inner])
     return row, first, last, gone

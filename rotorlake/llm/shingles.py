@@ -16,8 +16,8 @@ Equal sets are one path.
    remains is verified pair by pair. So no link between components is lost, and no group of near copies is spelled out.
 
 Defined results: a null text or one without words has an empty set and no links; texts of fewer words than ``n`` have
-one n-gram; rows with equal ids are nodes of their own with one id; null ids rank behind all others and are null in the
-result; an empty table gives no rows.
+one n-gram; rows with equal ids (null is such an id) are nodes of their own, which are not compared with each other; null
+ids rank behind all others and are null in the result; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -204,19 +204,19 @@ def paths(parts: exchange.Parts, words: int) -> DataFrame:
 
 
 def subtrees(found: DataFrame) -> DataFrame:
-    """Rows (token, set, n, rare) for the shared n-grams among each set's first ones."""
+    """Rows (token, set, n, rare, at: place in the set's order) for the shared n-grams among each set's first ones."""
 
     def cut(batches):
         for batch in batches:
-            made = [[], [], [], []]
+            made = [[], [], [], [], []]
             for s, n, rare, path in zip(*(batch.column(c).to_pylist() for c in ("set", "n", "rare", "path")), strict=True):
                 own = np.frombuffer(path, np.int64)[: max(0, prefix(n) - rare)]
-                for column, x in zip(made, (own, [s] * len(own), [n] * len(own), [rare] * len(own)), strict=True):
+                for column, x in zip(made, (own, [s] * len(own), [n] * len(own), [rare] * len(own), np.arange(rare, rare + len(own))), strict=True):
                     column.append(np.asarray(x, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in made], names=["token", "set", "n", "rare"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in made], names=["token", "set", "n", "rare", "at"])
 
     rows = found.where("path is not null").select("set", "n", "rare", "path")
-    return graph.kept(rows.mapInArrow(cut, "token long, set long, n long, rare long"), "subtrees")
+    return graph.kept(rows.mapInArrow(cut, "token long, set long, n long, rare long, at long"), "subtrees")
 
 
 def walk(pivot: list[int], pivot_size: int, members: list[tuple[int, int, list[int]]]) -> list[int]:
@@ -271,22 +271,28 @@ def verify(pairs: DataFrame, found: DataFrame) -> DataFrame:
     return graph.kept(out, "links")
 
 
-def _like(a: str, b: str):
-    """Sizes that allow a similarity of 0.8."""
-    return (5 * F.col(a) >= 4 * F.col(b)) & (5 * F.col(b) >= 4 * F.col(a))
+def _may_link():
+    """Whether two sets that meet in a subtree can be a link with nothing shared before it.
+
+    Sizes n and m must allow a similarity of 0.8, and what either set holds from its place on must reach the overlap of
+    4/9 (n + m). A link passes in the subtree of its first shared n-gram.
+    """
+    n, m = F.col("n"), F.col("m")
+    sizes = (5 * n >= 4 * m) & (5 * m >= 4 * n)
+    return sizes & (9 * (n - F.col("at")) >= 4 * (n + m)) & (9 * (m - F.col("at_b")) >= 4 * (n + m))
 
 
 def join(found: DataFrame) -> DataFrame:
     """Rows (node, root) of the components of sets with more than one member."""
     trees = subtrees(found)
-    typical = F.struct((F.col("rare") / F.col("n")).alias("own"), "set", "n")
-    pivots = trees.groupBy("token").agg(F.min(typical).alias("p")).select("token", F.col("p.set").alias("b"), F.col("p.n").alias("m"))
-    near = trees.join(pivots, "token").where((F.col("set") != F.col("b")) & _like("n", "m"))
+    typical = F.struct((F.col("rare") / F.col("n")).alias("own"), F.col("set").alias("b"), F.col("n").alias("m"), F.col("at").alias("at_b"))
+    pivots = trees.groupBy("token").agg(F.min(typical).alias("p")).select("token", "p.b", "p.m", "p.at_b")
+    near = trees.join(pivots, "token").where((F.col("set") != F.col("b")) & _may_link())
     # Of a set's pivots the one that it meets most often.
     near = near.groupBy("set", "b").agg(F.count(F.lit(1)).alias("c")).groupBy("set").agg(F.max(F.struct("c", "b")).alias("x"))
     pairs = graph.kept(near.select(F.col("set").alias("a"), F.col("x.b").alias("b")), "pairs")
-    links, tried = verify(pairs, found), pairs
-    roots = graph.components(links)
+    tried = pairs
+    roots = graph.components(verify(pairs, found))
     for turn in range(ROUNDS):
         placed = trees.join(roots.withColumnRenamed("node", "set"), "set", "left").withColumn("root", F.coalesce("root", "set"))
         mixed = placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("token")
@@ -297,15 +303,17 @@ def join(found: DataFrame) -> DataFrame:
         size = open_.groupBy("token", "root").agg(F.count(F.lit(1)).alias("c"))
         main = size.groupBy("token").agg(F.max(F.struct("c", "root")).alias("x")).select("token", F.col("x.root").alias("main"))
         placed = open_.join(main, "token")
-        others = placed.where("root <> main").select("token", F.col("set").alias("b"), F.col("n").alias("m"), F.col("root").alias("root_b"))
+        others = placed.where("root <> main").select("token", F.col("set").alias("b"), F.col("n").alias("m"), F.col("at").alias("at_b"), F.col("root").alias("root_b"))
         if turn < ROUNDS - 1:
-            draw = F.struct(F.xxhash64("b", F.lit(turn)), "b", "m", "root_b")
-            others = others.groupBy("token").agg(F.min(draw).alias("x")).select("token", "x.b", "x.m", "x.root_b")
-        near = placed.join(others, "token").where((F.col("root") != F.col("root_b")) & _like("n", "m"))
+            draw = F.struct(F.xxhash64("b", F.lit(turn)), "b", "m", "at_b", "root_b")
+            others = others.groupBy("token").agg(F.min(draw).alias("x")).select("token", "x.b", "x.m", "x.at_b", "x.root_b")
+        near = placed.join(others, "token").where((F.col("root") != F.col("root_b")) & _may_link())
         near = near.select(F.least("set", "b").alias("a"), F.greatest("set", "b").alias("b")).distinct()
         near = graph.kept(near.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "pairs")
+        if not near.take(1):
+            continue
         new = verify(near, found)
-        tried, links = tried.union(near), links.union(new)
+        tried = tried.union(near)
         if new.take(1):
             roots = graph.components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(new))
     return roots
