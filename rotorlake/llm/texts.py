@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 SLICE_BYTES = 4 << 20
 
 _rng = np.random.default_rng(20240607)
@@ -92,6 +92,9 @@ def pieces(
             end = min(end, batch.num_rows)
             yield batch.slice(at, end - at), bounds[at : end + 1] - bounds[at], data[bounds[at] : bounds[end]]
             at = end
+        # A worker lives on after its task; what Arrow has freed goes back to the system.
+        del batch, bounds, data
+        pa.default_memory_pool().release_unused()
 
 
 def _cuts(data: np.ndarray, table: np.ndarray, max_bytes: int) -> Iterator[tuple[int, int]]:
