@@ -48,8 +48,8 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines and sentences that an earlier document or place holds, removed."""
-    found = lines.dedup(table(spark, sf_dir, "documents"), with_kept=False)
+    """Paragraphs, lines and sentences that an earlier document or place holds, removed."""
+    found = lines.dedup(table(spark, sf_dir, "documents"), with_kept=False, whole=True)
     return found.drop("text_hash").withColumn("spans", F.array_join(F.col("spans").cast("array<string>"), ","))
 
 

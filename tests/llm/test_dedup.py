@@ -135,6 +135,20 @@ def test_lines_equal_a_loop(spark):
     assert text[602].n_removed >= 2
 
 
+def test_whole_lines_of_short_sentences_go(spark):
+    line, cjk = "Buy now. Call us. It is free. No risk. Act fast.", "这个网站的所有内容都受到版权法的保护"
+    data = [(1, f"first text of all here today\n{line}\n{cjk}\n"), (2, f"{line}\nanother one\n{cjk}"), (3, f"one\n{line} {line}\n{line}")]
+    data += [(4, "a b c\nd e f\ng h i\n\nother"), (5, "new\n\na b c\nd e f\ng h i\n\nend")]
+    docs = samples.docs(spark, data)
+    kept = {r.doc_id: r.kept for r in lines.dedup(docs, whole=True).collect()}
+    assert kept[1] == data[0][1] and kept[4] == data[3][1]
+    assert kept[2] == "another one\n"
+    # Two copies in one line are another line; they are the first of their kind.
+    assert kept[3] == f"one\n{line} {line}\n"
+    assert kept[5] == "new\n\nend"
+    assert {r.doc_id: r.text for r in lines.clean(docs, whole=True).collect()} == kept
+
+
 def test_clean_keeps_rows_and_columns(spark):
     docs = samples.docs(spark)
     for cleaned in (lines.clean(docs), shingles.clean(docs)):
