@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from rotorlake.llm import texts
 
 #: Between two words of a phrase: anything but word characters.
-GAP = rb"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
+GAP = rb"(?:[\x00-\x2f\x3a-\x60\x7b-\x7f]+)"
 _BEFORE, _AFTER = rb"(?<![0-9a-z\x80-\xff])", rb"(?![0-9a-z\x80-\xff])"
 
 # Base phrases and their labels.
@@ -108,13 +108,14 @@ P_BASE, P_TEXT, P_VERSION, P_NAME, P_SPDX = 50, 40, 30, 20, 10
 
 
 class Rule:
-    """One signature: pattern, label, priority, score and the keyword that gates it."""
+    """One signature: pattern and its source, label, priority, score and the keyword that gates it."""
 
-    __slots__ = ("pattern", "label", "priority", "score", "gate", "base")
+    __slots__ = ("pattern", "source", "label", "priority", "score", "gate", "base")
 
     def __init__(self, pattern: str, label: str, priority: int, score: float, gate: str, base: bool = False) -> None:
         body = b"".join(GAP if c == " " else c.encode() for c in pattern)
         self.pattern = re.compile(_BEFORE + rb"(?:" + body + rb")" + _AFTER)
+        self.source = pattern
         self.label, self.priority, self.score, self.base = label, priority, score, base
         self.gate = gate.encode()
 
@@ -163,6 +164,8 @@ class Scanner:
             for m in rule.pattern.finditer(text):
                 s, e = m.span()
                 if rule.base or not any(a <= s and e <= b and x.priority >= rule.priority for a, b, x in kept):
+                    # What was found before is of the same or a higher priority.
+                    kept = [x for x in kept if x[2].base or x[2].priority > rule.priority or not (s <= x[0] and x[1] <= e)]
                     kept.append((s, e, rule))
         return sorted(kept, key=lambda x: (x[0], -x[1], -x[2].priority, x[2].label))
 

@@ -143,6 +143,46 @@ def test_license_places_equal_a_loop(spark):
     assert "gpl-3-or-later" in got[700].labels
 
 
+def spelled(tree, wide):
+    """A text of a parsed pattern, with all that may be left out or without it."""
+    out = ""
+    for op, x in tree:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(x)
+        elif name == "IN":
+            out += chr(x[0][1] if str(x[0][0]) == "LITERAL" else x[0][1][0])
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            out += spelled(x[2], wide) * max(x[0], int(wide))
+        elif name == "SUBPATTERN":
+            out += spelled(x[3], wide)
+        else:
+            assert name == "BRANCH"
+            out += spelled(x[1][0 if wide else -1], wide)
+    return out
+
+
+def test_every_license_rule_finds_its_spellings():
+    for rule in licenses.rules():
+        tree = re._parser.parse(rule.source)
+        for text in {spelled(tree, wide).replace(" ", gap) for wide in (True, False) for gap in (" ", "-", ", ")}:
+            if text.startswith("proprietary") and rule.gate == b"confidential":
+                continue  # the word twice is no phrase; its keyword keeps it out
+            found = licenses.Scanner([rule]).detect(b"* " + text.encode() + b".")
+            assert [(a, b) for a, b, _ in found] == [(2, 2 + len(text))], (rule.source, text)
+
+
+def test_licenses_without_gaps():
+    scan = licenses.Scanner(licenses.rules())
+    labels = lambda t: {r.label for _, _, r in scan.detect(t.lower().encode())}
+    assert labels("Creative Commons Attribution-NonCommercial-ShareAlike 4.0") == {"cc-by-nc-sa-4.0"}
+    assert labels("Creative Commons Attribution-NoDerivatives 4.0") == {"cc-by-nd-4.0"}
+    assert labels("Creative Commons Attribution-ShareAlike") == {"cc-by-sa"}
+    assert labels("under GPLv3 or LGPL2") == {"gpl-3", "lgpl-2"}
+    assert labels("General Public License v2") == {"gpl-2"}
+    assert labels("the Beerware license") == {"beerware"}
+
+
 def test_a_detection_within_another_goes():
     scan = licenses.Scanner(licenses.rules())
     found = scan.detect(b"the mozilla public license 2.0")
