@@ -244,41 +244,55 @@ def clean(
     max_coverage: float = 0.5,
     window: int = WINDOW,
     text: str = "text",
+    max_item_words: int = MAX_ITEM_WORDS,
 ) -> DataFrame:
     """The documents with all columns, hit spans of ``min_span`` words or more cut out of the text.
 
     A document of which more than ``max_coverage`` of the words are hit is dropped. Documents without hits stay as
-    they are; words next to a cut keep their own white space.
+    they are; words next to a cut keep their own white space. The hits of all automata are united before anything is
+    cut or dropped, so that the result does not depend on their number.
     """
     # The text is found by place, so that further columns may have any name.
     place, names = docs.columns.index(text), [f"_{k}" for k in range(len(docs.columns))]
     plain = docs.toDF(*names)
-    for rows in shards(benchmark, "item_id", "text"):
-        held = plain.sparkSession.sparkContext.broadcast(rows)
-
-        def cut(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index = Index(held.value, window)
+    sc, schema = plain.sparkSession.sparkContext, plain.schema
+    held = [sc.broadcast(rows) for rows in shards(benchmark, "item_id", "text", max_item_words)]
+    marked = plain.withColumn("hit", F.array().cast("array<long>")).schema
+
+    def cut(batch: pa.RecordBatch, bounds: np.ndarray, first: np.ndarray, starts: np.ndarray, ends: np.ndarray, hit: np.ndarray, row: np.ndarray):
+        value, keep = batch.column(place).to_pylist(), np.ones(batch.num_rows, np.bool_)
+        for r in np.unique(row[hit]).tolist():
+            mask = hit[first[r] : first[r + 1]]
+            keep[r] = mask.mean() <= max_coverage
+            own, at, kept = value[r].encode(), 0, []
+            for a, b in _runs(mask).tolist():
+                if b - a >= min(min_span, window):
+                    s, e = (int(x - bounds[r]) for x in (starts[first[r] + a], ends[first[r] + b - 1]))
+                    kept.append(own[at:s])
+                    at = e
+            value[r] = b"".join([*kept, own[at:]]).decode()
+        columns = batch.columns
+        columns[place] = pa.array(value, pa.string())
+        return pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep))
+
+    for k, items in enumerate(held):
+
+        def scan(batches: Iterator[pa.RecordBatch], items=items, fresh=k == 0, last=k == len(held) - 1) -> Iterator[pa.RecordBatch]:
+            index = Index(items.value, window)
             for batch, bounds, data in texts.pieces(batches, names[place]):
                 row, starts, ends, h = texts.word_hashes(bounds, data, texts.ALNUM)
                 hit, _, _ = index.hits(row, h)
-                if not hit.any():
-                    yield batch
-                    continue
                 first = np.searchsorted(row, np.arange(batch.num_rows + 1))
-                value, keep = batch.column(place).to_pylist(), np.ones(batch.num_rows, np.bool_)
-                for r in np.unique(row[hit]).tolist():
-                    mask = hit[first[r] : first[r + 1]]
-                    keep[r] = mask.mean() <= max_coverage
-                    own, at, kept = value[r].encode(), 0, []
-                    for a, b in _runs(mask).tolist():
-                        if b - a >= min(min_span, window):
-                            s, e = (int(x - bounds[r]) for x in (starts[first[r] + a], ends[first[r] + b - 1]))
-                            kept.append(own[at:s])
-                            at = e
-                    value[r] = b"".join([*kept, own[at:]]).decode()
-                columns = batch.columns
-                columns[place] = pa.array(value, pa.string())
-                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep))
-
-        plain = plain.mapInArrow(cut, plain.schema)
+                if not fresh:
+                    for r, runs in enumerate(batch.column(len(names)).to_pylist()):
+                        for a, b in zip(runs[::2], runs[1::2], strict=True):
+                            hit[first[r] + a : first[r] + b] = True
+                    batch = batch.select(names)
+                if last:
+                    yield cut(batch, bounds, first, starts, ends, hit, row) if hit.any() else batch
+                else:
+                    runs = [_runs(hit[a:b]).ravel().tolist() for a, b in zip(first[:-1], first[1:], strict=True)]
+                    yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(runs, pa.list_(pa.int64()))], names=[*names, "hit"])
+
+        plain = plain.mapInArrow(scan, schema if k == len(held) - 1 else marked)
     return plain.toDF(*docs.columns)

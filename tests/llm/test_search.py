@@ -116,6 +116,21 @@ def test_clean_cuts_passages_and_keeps_the_rest(spark):
     assert kept[1] == "before it,  and behind. " + "more " * 30
 
 
+def test_clean_does_not_depend_on_the_number_of_automata(spark):
+    docs = samples.docs(spark)
+    bench = spark.createDataFrame(items(), "item_id long, text string")
+    bench = bench.union(spark.createDataFrame([(k, " ".join(f"w{x}" for x in range(k, k + 12))) for k in range(100, 130)], bench.schema))
+    words = [f"w{x}" for x in range(100, 140)]
+    odd = [(900, " ".join(words[:30]) + " own" * 35), (901, " ".join(words[3:33]) + " own" * 10), (902, "own " * 40 + " ".join(words[5:18]))]
+    docs = docs.union(samples.docs(spark, odd))
+    found = []
+    for most in (decontaminate.MAX_ITEM_WORDS, 60):
+        found.append(sorted(map(repr, decontaminate.clean(docs, bench, max_item_words=most).collect())))
+    assert sum(1 for _ in decontaminate.shards(bench, "item_id", "text", 60)) > 5
+    assert found[0] == found[1]
+    assert not any("doc_id=901," in x for x in found[0]) and sum("doc_id=900," in x for x in found[0]) == 1
+
+
 def test_empty_benchmark_and_documents(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = samples.docs(spark)
