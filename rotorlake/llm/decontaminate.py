@@ -240,13 +240,12 @@ def hit_words(hit: str = "hit"):
 def clean(
     docs: DataFrame,
     benchmark: DataFrame,
-    min_span: int = WINDOW,
     max_coverage: float = 0.5,
     window: int = WINDOW,
     text: str = "text",
     max_item_words: int = MAX_ITEM_WORDS,
 ) -> DataFrame:
-    """The documents with all columns, hit spans of ``min_span`` words or more cut out of the text.
+    """The documents with all columns, hit spans cut out of the text: every window of ten words, every whole short item.
 
     A document of which more than ``max_coverage`` of the words are hit is dropped. Documents without hits stay as
     they are; words next to a cut keep their own white space. The hits of all automata are united before anything is
@@ -266,10 +265,9 @@ def clean(
             keep[r] = mask.mean() <= max_coverage
             own, at, kept = value[r].encode(), 0, []
             for a, b in _runs(mask).tolist():
-                if b - a >= min(min_span, window):
-                    s, e = (int(x - bounds[r]) for x in (starts[first[r] + a], ends[first[r] + b - 1]))
-                    kept.append(own[at:s])
-                    at = e
+                s, e = (int(x - bounds[r]) for x in (starts[first[r] + a], ends[first[r] + b - 1]))
+                kept.append(own[at:s])
+                at = e
             value[r] = b"".join([*kept, own[at:]]).decode()
         columns = batch.columns
         columns[place] = pa.array(value, pa.string())

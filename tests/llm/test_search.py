@@ -4,6 +4,7 @@ import math
 import random
 import re
 
+import corpus_pipeline
 import numpy as np
 import samples
 from pyspark.sql import functions as F
@@ -131,6 +132,13 @@ def test_clean_does_not_depend_on_the_number_of_automata(spark):
     assert not any("doc_id=901," in x for x in found[0]) and sum("doc_id=900," in x for x in found[0]) == 1
 
 
+def test_clean_cuts_short_items(spark, tmp_path):
+    spark.createDataFrame([(1, "What is the capital of France?")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    data = [(1, "more " * 30 + "what is the Capital of France? Paris. " + "more " * 30), (2, "what is the capital of " + "more " * 30)]
+    got = dict(corpus_pipeline.STAGES)["benchmark_decontamination"](spark, samples.docs(spark, data), str(tmp_path))
+    assert {r.doc_id: r.text for r in got.collect()} == {1: "more " * 30 + "? Paris. " + "more " * 30, 2: data[1][1]}
+
+
 def test_empty_benchmark_and_documents(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     docs = samples.docs(spark)
