@@ -335,11 +335,35 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words:
 
 
 def clean(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """The documents with all columns, of each class the one with the smallest id.
+    """The documents with all columns, of each class exactly one row.
 
-    Rows without an id and rows that repeat an id stay or go together with it.
+    That is the row with the smallest id, a null id behind all others; among equal ids the one whose hash of id and text
+    is smallest, and among rows that are equal in both the one whose hash of all columns is. Rows without words are in no
+    class and stay.
     """
-    found = classes(docs, words=words)
-    gone = graph.kept(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    gone = F.broadcast(gone) if fits_broadcast(gone) else gone
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+    # Columns are found by place, so that further ones may have any name.
+    names = [f"_{k}" for k in range(len(docs.columns))]
+    plain = docs.toDF(*names)
+    doc_id, text = (F.col(names[docs.columns.index(c)]) for c in ("doc_id", "text"))
+    doc_id = doc_id.cast("long")
+    ids = plain.groupBy(doc_id.alias("id")).agg(F.count(F.lit(1)).alias("c"))
+    if not ids.where("c > 1 or id is null").take(1):
+        found = classes(plain.select(doc_id.alias("doc_id"), text.alias("text")), words=words)
+        gone = graph.kept(found.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")), "gone")
+        return plain.join(F.broadcast(gone) if fits_broadcast(gone) else gone, doc_id == gone["gone"], "left_anti").toDF(*docs.columns)
+    # Ids do not name rows: a hash of id and text does, so that texts of one id are compared with each other too.
+    named = plain.withColumn("row", F.xxhash64(doc_id.isNull(), doc_id, text))
+    found = classes(named.select(F.col("row").alias("doc_id"), text.alias("text")), words=words).where("n_shingles > 0")
+    found = found.groupBy(F.col("doc_id").alias("row")).agg(F.first("component_id").alias("component"), F.count(F.lit(1)).alias("c"))
+    order = named.groupBy("row").agg(F.min(F.struct(doc_id.isNull().alias("none"), doc_id.alias("id"))).alias("at"))
+    found = graph.kept(found.join(order, "row"), "rows")
+    stays = found.groupBy("component").agg(F.min(F.struct("at", "row")).alias("x")).select(F.col("x.row").alias("row"))
+    gone = graph.kept(found.join(stays, "row", "left_anti").select("row"), "gone")
+    left = named.join(F.broadcast(gone) if fits_broadcast(gone) else gone, "row", "left_anti")
+    twice = graph.kept(found.where("c > 1").join(stays, "row").select("row"), "twice")
+    if twice.take(1):
+        twice = F.broadcast(twice) if fits_broadcast(twice) else twice
+        # Aggregated where the rows lie first, so that a row repeated in all of the table is not sent.
+        one = left.join(twice, "row", "left_semi").groupBy("row").agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("x"))
+        left = left.join(twice, "row", "left_anti").select(*names).unionByName(one.select("x.*"))
+    return left.select(*names).toDF(*docs.columns)

@@ -158,6 +158,21 @@ def test_clean_keeps_rows_and_columns(spark):
     assert {i for i, _, c in near_duplicates(ranked(samples.rows())) if i == c and i != LAST} <= kept
 
 
+def test_one_row_of_each_class_stays(spark):
+    words = lambda k, n=60: " ".join(f"w{k}x{x}" for x in range(n))
+    near = words(3) + " other"
+    data = [(1, words(1)), (2, words(2)), (2, words(1))]  # id 2 has a copy and a text of its own
+    data += [(None, words(3)), (None, near), (5, words(4)), (5, words(4)), (5, words(4) + " end"), (None, words(4))]
+    data += [(9, ""), (9, ""), (None, None)]
+    got = [(r.doc_id, r.text) for r in shingles.clean(samples.docs(spark, data)).collect()]
+    count = {x: got.count(x) for x in got}
+    assert count.pop((9, "")) == 2 and count.pop((None, None)) == 1
+    assert count.pop((1, words(1))) == count.pop((2, words(2))) == 1
+    third = [x for x in count if x[0] is None]
+    fifth = [x for x in count if x[0] == 5]
+    assert len(third) == len(fifth) == 1 and len(count) == 2 and set(count.values()) == {1}
+
+
 @pytest.mark.parametrize("operator", [suffixes.dedup, shingles.classes, lines.dedup, lines.clean, shingles.clean])
 def test_empty_table(spark, operator):
     assert operator(samples.docs(spark, [])).collect() == []
