@@ -38,3 +38,16 @@ def test_entry(spark):
 def test_day_range_reaches_the_scan(spark, sf_dir):
     plan = QUERIES["time_range_scan"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(ts," in plan and "LessThanOrEqual(ts," in plan and "props" not in plan
+
+
+def test_turbines_without_marks_are_left_out(spark, sf_dir, monkeypatch):
+    named = workload.queries.QUERIES["turbine_sets"]
+    before = {r.wtg_id for r in named(spark, sf_dir).collect()}
+    gone, real = min(before), workload.queries.view
+
+    def view(spark, sf, name):
+        rows = real(spark, sf, name)
+        return rows.where(rows["wtg_id"] != gone) if name == "telemetry_10m" else rows
+
+    monkeypatch.setattr(workload.queries, "view", view)
+    assert {r.wtg_id for r in named(spark, sf_dir).collect()} == before - {gone}

@@ -305,8 +305,7 @@ def state_remap(spark, sf):
 
 @query
 def turbine_sets(spark, sf):
-    roster = view(spark, sf, "wtg_dim")
-    return per_second.turbine_sets(_logs(spark, sf), roster)
+    return per_second.turbine_sets(_logs(spark, sf), _roster(spark, sf))
 
 
 # --- time series --------------------------------------------------------------------------------
