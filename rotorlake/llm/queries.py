@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rotorlake.llm import decontaminate, language, licenses, lines, piece_codec, shingles, suffixes, token_files, topk, toxicity
+from rotorlake.llm import decontaminate, language, licenses, lines, piece_codec, prefix_trie, shards, shingles, suffixes, token_files, topk, toxicity, vector_codes
 from rotorlake.session import shared_folder
 
 #: End id of the token files.
@@ -96,6 +96,26 @@ def sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.encode(table(spark, sf_dir, "documents"), model, with_ids=False)
 
 
+def vector_codes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors, with the errors that they make."""
+    coded, books = vector_codes.encode(table(spark, sf_dir, "embeddings"))
+    rows = vector_codes.with_label_errors(coded)
+    return rows.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256"))
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of rebuilt conversations."""
+    turns = prefix_trie.turns(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(*prefix_trie.rebuilt(turns)).drop("id")
+
+
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of each document; the numbers of rows of two shards differ by one at most."""
+    rows = shards.assign(table(spark, sf_dir, "documents"))
+    law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return rows.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown, F.col("home").alias("home_shard"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity_scores,
     "op2_jaccard_join": jaccard_classes,
@@ -107,6 +127,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": suffix_dedup,
     "op9_token_files": token_files_query,
     "op10_sentencepiece": sentencepiece_codec,
+    "op11_vector_codes": vector_codes_query,
+    "op12_conversation_trie": conversation_trie,
+    "op13_ring_shards": sharding,
 }
 
 TOPK_SQL = """
@@ -123,6 +146,92 @@ with v as (
 select query_id, rank, vec_id, score from r where rank <= 20
 """
 
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Every part against every entry of its codebook, a pair of steps a round; whole numbers below 2^53 throughout."""
+    distance = "list_dot_product(p.x, p.x) - 2 * list_dot_product(p.x, b.x) + list_dot_product(b.x, b.x)"
+    steps = [
+        f"""v as materialized (
+  select row_number() over (order by vec_id) as rid, vec_id, label, [floor(1024 * x::double) for x in embedding] as e from embeddings
+  where embedding is not null and len([x for x in embedding if x is null or not isfinite(x::double)]) = 0
+), p as materialized (
+  select rid, part, list_slice(e, part * (len(e) // {parts}) + 1, (part + 1) * (len(e) // {parts})) as x
+  from v, (select unnest(range({parts})) as part)
+), b0 as materialized (select part, rid - 1 as entry, x from p where rid <= {entries})"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(
+            f"""a{r} as materialized (
+  select rid, part, min({{'d': d, 'entry': entry}}) as best
+  from (select p.rid, p.part, b.entry, {distance} as d from p join b{r} b on p.part = b.part) group by rid, part
+)"""
+        )
+        if r < rounds:
+            steps.append(
+                f"""u{r} as materialized (
+  select part, entry, list(floor(total / n) order by side) as x from (
+    select part, entry, side, sum(value) as total, count(*) as n from (
+      select p.part, a.best.entry as entry, unnest(p.x) as value, unnest(range(len(p.x))) as side
+      from p join a{r} a on p.part = a.part and p.rid = a.rid
+    ) group by part, entry, side
+  ) group by part, entry
+), b{r + 1} as materialized (
+  select b.part, b.entry, coalesce(u.x, b.x) as x from b{r} b left join u{r} u on b.part = u.part and b.entry = u.entry
+)"""
+            )
+    steps.append(
+        f"""books as (
+  select sha256(string_agg(value::bigint::varchar, ',' order by part, entry, side)) as h
+  from (select part, entry, unnest(x) as value, unnest(range(len(x))) as side from b{rounds})
+), c as (
+  select rid, string_agg(printf('%02x', best.entry), '' order by part) as code, sum(best.d)::bigint as error from a{rounds} group by rid
+)"""
+    )
+    return f"""with {", ".join(steps)}
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, h as codebooks_sha256
+from v join c using (rid), books"""
+
+
+#: CRC-32 of the decimal digits of c, a bit at a time.
+CRC32_SQL = """xor(4294967295, list_reduce(
+  list_concat([4294967295::bigint], [ord(x)::bigint for x in string_split(c::varchar, '')]),
+  lambda a, b: list_reduce(
+    [xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda y, z: case when y % 2 = 1 then xor(y >> 1, 3988292384) else y >> 1 end
+  )
+))"""
+
+TRIE_SQL = f"""
+with t as (
+  select conv_id as c, turn, coalesce(text, '') as text,
+    left(sha256(strlen(coalesce(role, ''))::varchar || ':' || coalesce(role, '') || coalesce(text, '')), 32) as dig
+  from conversations where conv_id is not null
+), own as materialized (
+  select c, list({{'dig': dig, 'n': strlen(text)}} order by turn nulls first, dig) as l, {CRC32_SQL} % 9 as h from t group by c
+), q as materialized (
+  select o.c, list_concat(coalesce(list_slice(b.l, 1, o.h), []), list_slice(o.l, o.h + 1, len(o.l))) as l
+  from own o left join own b on b.c = o.c - o.c % 5
+), m as (
+  select c, d, list_slice(l, 1, d) as p, d = len(l) as final from (select c, l, unnest(range(len(l) + 1)) as d from q)
+), node as materialized (
+  select p, d, min(c) as conv_id, count(*) as n_convs, (count(*) - 1) * coalesce(p[d].n, 0) as saved,
+    sha256(coalesce(string_agg(c::varchar, ',' order by c) filter (final), '')) as ends_sha256
+  from m group by p, d
+), kids as (
+  select list_slice(p, 1, d - 1) as p, count(*) as n from node where d > 0 group by 1
+), whole as materialized (
+  select node.*, coalesce(kids.n, 0) as n_children from node left join kids on node.p = kids.p
+), sums as (
+  select a.p, count(*) filter (b.n_children = 0) as n_leaves, sum(b.saved) as saved_tokens
+  from whole a join whole b on b.d >= a.d and list_slice(b.p, 1, a.d) = a.p group by a.p
+)
+select w.conv_id, w.d as depth, u.conv_id as parent_conv_id, w.n_convs, w.n_children, s.n_leaves,
+  cast(s.saved_tokens as bigint) as saved_tokens, w.ends_sha256
+from whole w join sums s on w.p = s.p left join whole u on u.d = w.d - 1 and list_slice(w.p, 1, w.d - 1) = u.p
+"""
+
 SQL: dict[str, str] = {
     "op3_topk_search": TOPK_SQL,
+    "op11_vector_codes": _codes_sql(),
+    "op12_conversation_trie": TRIE_SQL,
 }
