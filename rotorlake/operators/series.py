@@ -16,13 +16,16 @@ from rotorlake.functions import calendar
 
 STEP = 600
 DAY = 86400
+#: Rows that one task of an expansion makes at most, if the groups can be split so far.
+ROWS_PER_TASK = 8_000_000
 
 
 def last_per(df: DataFrame, keys: list[str], order: str | Column, cols: list[str] | None = None) -> DataFrame:
-    """The last row by ``order`` of each key, combined on the map side."""
+    """The last row by ``order`` of each key, combined on the map side; of equally late ones the greatest by ``cols``."""
     order = F.col(order) if isinstance(order, str) else order
     cols = [c for c in df.columns if c not in keys] if cols is None else cols
-    return df.groupBy(*keys).agg(*[F.max_by(F.col(c), order).alias(c) for c in cols])
+    rows = df.groupBy(*keys).agg(F.max(F.struct(order.alias("_order"), F.struct(*cols).alias("_row"))).alias("_last"))
+    return rows.select(*keys, "_last._row.*")
 
 
 def last_record(df: DataFrame, key: str, ts: str) -> DataFrame:
@@ -46,14 +49,21 @@ def with_carry(df: DataFrame, ts: str, day: str = "day") -> DataFrame:
 
 
 def fill_grid(
-    df: DataFrame, key: str, ts: str, step: int = STEP, last_day: str | None = None, keep_carry: bool = True
+    df: DataFrame,
+    key: str,
+    ts: str,
+    step: int = STEP,
+    last_day: str | None = None,
+    keep_carry: bool = True,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Regular grid per (key, day): every mark from day + step to the next midnight, and the carried midnight.
 
     Input holds one row per (key, mark); rows off the grid are left out (see ``off_grid``). Missing marks get null
     measures and ``is_filled``. Each row fills the gap up to the next one, so the grid needs no join: 144 rows per day
     at 10 minutes, 145 with carry. Every day from a key's first to its last is there, silent ones too, and up to
-    ``last_day``, the last day of the run.
+    ``last_day``, the last day of the run. ``days`` gives these days (``days_of``) where they can be had from fewer
+    columns than the rows take to compute.
     """
     df = df.where(~off_grid(F.col(ts), step))
     measures = [c for c in df.columns if c not in (key, ts)]
@@ -64,7 +74,7 @@ def fill_grid(
     gap = F.expr(f"interval '{step}' second")
 
     # A row without time for each day of the span; it stands for the day where there is no other.
-    seed = days_of(df, key, ts, last_day).withColumn("_seed", F.lit(True))
+    seed = (days_of(df, key, ts, last_day) if days is None else days).withColumn("_seed", F.lit(True))
     present = with_carry(df, ts).withColumn("_seed", F.lit(False)).unionByName(seed, allowMissingColumns=True)
     marked = present.withColumns(
         {
@@ -109,14 +119,15 @@ def days_of(df: DataFrame, key: str, ts: str, last_day: str | None = None) -> Da
     return span.select(key, F.explode(F.sequence(first, last)).alias("day"))
 
 
-def spread_groups(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition by ``keys`` into the session's shuffle partitions, a number that stays.
+def spread_groups(df: DataFrame, *keys: str, rows: int = 0) -> DataFrame:
+    """Hash-partition by ``keys`` into a number of tasks that stays, made for ``rows`` expanded rows.
 
     Rows that are about to be expanded some hundredfold look tiny to the adaptive planner, which would
-    join them into one task.
+    join them into one task. There are as many tasks as the session's shuffle partitions, or more if these would
+    get over ``ROWS_PER_TASK`` rows each.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(parts, *keys)
+    return df.repartition(max(parts, -(-rows // ROWS_PER_TASK)), *keys)
 
 
 def add_previous(df: DataFrame, key: str, ts: str, cols: list[str], prefix: str = "previous_") -> DataFrame:
@@ -152,22 +163,24 @@ def state_intervals(logs: dict[str, DataFrame], roster: DataFrame, key: str = "w
     """State logs merged to intervals ``[start_time, end_time)`` in which no state changes.
 
     ``logs`` maps an output column to a log (key, starttime, msec, state_id). A state holds from the second of its
-    time on; within a second the latest by time and millisecond counts.
+    time on; within a second the latest by time and millisecond counts, of equal ones the greatest state.
     ``roster`` holds the (key, day) pairs to cover. A day runs from its first second to the next
     midnight; it opens with the last state of any earlier day, and a null state is carried as null.
+
+    The logs are read once: changes are dealt by (key, day) in one exchange, which the summary of the days and the
+    intervals both read; the carry from day to day runs over that summary, one row a day. The rows leave dealt by
+    (key, day) into tasks for the seconds of the roster.
     """
     kinds = list(logs)
+    seconds = DAY * roster.select(key, "day").distinct().count()
     tagged = None
     for kind, log in logs.items():
         second = whole_second(F.col("starttime"))
         one = log.where(F.col("starttime").isNotNull()).select(
-            key, second.alias("start_time"), F.struct("starttime", "msec").alias("msec"), "state_id", F.lit(kind).alias("kind")
+            key, second.alias("start_time"), F.struct("starttime", "msec", "state_id").alias("moment"), F.lit(kind).alias("kind")
         )
         tagged = one if tagged is None else tagged.unionByName(one)
 
-    def of_kind(kind: str, col: str) -> Column:
-        return F.when(F.col("kind") == kind, F.col(col))
-
     def held(kind: str) -> Column:
         return F.when(F.col("has_" + kind), F.struct(F.col(kind).alias("v")))
 
@@ -175,25 +188,19 @@ def state_intervals(logs: dict[str, DataFrame], roster: DataFrame, key: str = "w
     changes = (
         tagged.withColumn("day", calendar.measuring_day(F.col("start_time")))
         .groupBy(key, "day", "start_time")
-        .agg(
-            *[F.max_by(of_kind(k, "state_id"), of_kind(k, "msec")).alias(k) for k in kinds],
-            *[F.max(F.col("kind") == k).alias("has_" + k) for k in kinds],
-        )
+        .agg(*[F.max(F.when(F.col("kind") == k, F.col("moment"))).alias(k) for k in kinds])
+        .select(key, "day", "start_time", *[F.col(k)["state_id"].alias(k) for k in kinds], *[F.col(k).isNotNull().alias("has_" + k) for k in kinds])
     )
+    changes = spread_groups(changes, key, "day", rows=seconds)
     # One row per (key, day): the last state of the day; a running "last" over days gives the carry.
     day_last = changes.groupBy(key, "day").agg(
-        *[F.max_by(F.col(k), F.when(F.col("has_" + k), F.col("start_time"))).alias(k) for k in kinds],
-        *[F.max("has_" + k).alias("has_" + k) for k in kinds],
+        *[F.max(F.when(F.col("has_" + k), F.struct("start_time", F.col(k).alias("v")))).alias(k) for k in kinds]
     )
     days = day_last.withColumn("in_roster", F.lit(False)).unionByName(
         roster.select(key, "day").distinct().withColumn("in_roster", F.lit(True)), allowMissingColumns=True
     )
-    per_day = days.groupBy(key, "day").agg(
-        *[F.max_by(F.col(k), F.when(F.col("has_" + k), F.lit(1))).alias(k) for k in kinds],
-        *[F.coalesce(F.max("has_" + k), F.lit(False)).alias("has_" + k) for k in kinds],
-        F.max("in_roster").alias("in_roster"),
-    )
-    any_event = reduce(Column.__or__, [F.col("has_" + k) for k in kinds])
+    per_day = days.groupBy(key, "day").agg(*[F.max(k).alias(k) for k in kinds], F.max("in_roster").alias("in_roster"))
+    any_event = reduce(Column.__or__, [F.col(k).isNotNull() for k in kinds])
     by_day = Window.partitionBy(key).orderBy("day")
     until_now = by_day.rowsBetween(Window.unboundedPreceding, 0)
     before = by_day.rowsBetween(Window.unboundedPreceding, -1)
@@ -201,7 +208,7 @@ def state_intervals(logs: dict[str, DataFrame], roster: DataFrame, key: str = "w
         per_day.withColumns(
             {
                 "_seen": F.max(any_event).over(until_now),
-                **{"_c_" + k: F.last(held(k), ignorenulls=True).over(before) for k in kinds},
+                **{"_c_" + k: F.last(k, ignorenulls=True).over(before) for k in kinds},
             }
         )
         .where("in_roster and _seen")
@@ -209,7 +216,7 @@ def state_intervals(logs: dict[str, DataFrame], roster: DataFrame, key: str = "w
             key,
             "day",
             calendar.shift(F.col("day").cast("timestamp_ntz"), 1).alias("start_time"),
-            *[F.col(f"_c_{k}.v").alias(k) for k in kinds],
+            *[F.col("_c_" + k)["v"].alias(k) for k in kinds],
             *[F.lit(True).alias("has_" + k) for k in kinds],
             F.lit(True).alias("_opens"),
         )
@@ -217,10 +224,10 @@ def state_intervals(logs: dict[str, DataFrame], roster: DataFrame, key: str = "w
     group = Window.partitionBy(key, "day").orderBy("start_time", F.col("_opens").desc())
     so_far = group.rowsBetween(Window.unboundedPreceding, 0)
     end_of_day = calendar.shift(F.col("day").cast("timestamp_ntz"), DAY + 1)
-    # The window below takes this partitioning over.
+    # Both sides are dealt alike, so the window takes the union as it is.
+    merged = changes.withColumn("_opens", F.lit(False)).unionByName(spread_groups(opening, key, "day", rows=seconds))
     return (
-        spread_groups(changes.withColumn("_opens", F.lit(False)).unionByName(opening), key, "day")
-        .withColumns(
+        merged.withColumns(
             {
                 "_covered": F.first("_opens").over(so_far),
                 "end_time": F.coalesce(F.lead("start_time").over(group), end_of_day),
@@ -259,10 +266,14 @@ def split_energy(df: DataFrame, cols: dict[str, str], step: int = STEP, digits:
 
 
 def spread_energy(df: DataFrame, ts: str, cols: dict[str, str], step: int = STEP, digits: int = 5) -> DataFrame:
-    """Every second of ``(mark - step, mark]`` takes the mark's row; energies are split, the rest on the mark."""
+    """Every second of ``(mark - step, mark]`` takes the mark's row; energies are split, the rest on the mark.
+
+    Turbine-days are dealt by their marks, into tasks for the rows counted times ``step``.
+    """
     seconds = F.sequence(calendar.shift(F.col("_mark"), 1 - step), F.col("_mark"), F.expr("interval '1' second"))
     groups = [c for c in ("wtg_id", "day") if c in df.columns]
-    marks = split_energy(spread_groups(df, *groups, ts), cols, step, digits).withColumnRenamed(ts, "_mark")
+    spread = spread_groups(df, *groups, ts, rows=df.count() * step)
+    marks = split_energy(spread, cols, step, digits).withColumnRenamed(ts, "_mark")
     spread = marks.withColumn(ts, F.explode(seconds))
     on_mark = F.col(ts) == F.col("_mark")
     shares = {n: F.when(on_mark, F.col(n + "_last")).otherwise(F.col(n)) for n in cols.values()}

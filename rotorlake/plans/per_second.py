@@ -40,39 +40,48 @@ def production_base(calculated: DataFrame, logs: dict[str, DataFrame], roster: D
     """Energy per second with the states of that second.
 
     ``roster`` names the (wtg_id, day) pairs of the 10-minute output where they are known without computing it.
+    """
+    roster = calculated.select("wtg_id", "day").distinct() if roster is None else roster
+    return energy_with_states(calculated, state_intervals(logs, roster), DAY * roster.count())
+
+
+def energy_with_states(calculated: DataFrame, intervals: DataFrame, seconds: int | None = None) -> DataFrame:
+    """Every second with its energy, its mark's measures and its states.
 
     Equal to a full outer join of the two per-second tables, but joined as intervals: marks and state
     changes of a turbine-day are merged in time order and only the merged intervals are spread out.
+    ``seconds`` is the number of seconds to come; without it both sides must lie clustered by turbine (stage tables).
     """
-    kinds = list(logs)
-    roster = calculated.select("wtg_id", "day").distinct() if roster is None else roster
+    kinds = [c for c in intervals.columns if c not in ("wtg_id", "day", "start_time", "end_time")]
     measures = [c for c in calculated.columns if c not in ("wtg_id", "day", "datatime")]
     shares = split_energy(calculated.withColumn("temoutave", physics.to_celsius(F.col("temoutave"))), ENERGIES)
     energy_fields = ["_mark", *measures, *ENERGIES.values(), *[n + "_last" for n in ENERGIES.values()]]
+    # The turbine has another name until the end: a union keeps how its sides lie only by columns that were renamed
+    # since the tables.
     energy = shares.withColumnRenamed("datatime", "_mark").select(
-        "wtg_id",
+        F.col("wtg_id").alias("_turbine"),
         "day",
         calendar.shift(F.col("_mark"), 1 - STEP).alias("start_time"),
         F.struct(*energy_fields).alias("_energy"),
     )
-    state = state_intervals(logs, roster).select(
-        "wtg_id", "day", "start_time", F.struct("end_time", *kinds).alias("_state")
-    )
-    group = Window.partitionBy("wtg_id", "day").orderBy("start_time")
+    state = intervals.select(F.col("wtg_id").alias("_turbine"), "day", "start_time", F.struct("end_time", *kinds).alias("_state"))
+    if seconds is not None:
+        energy, state = (spread_groups(x, "_turbine", "day", rows=seconds) for x in (energy, state))
+    group = Window.partitionBy("_turbine", "day").orderBy("start_time")
     so_far = group.rowsBetween(Window.unboundedPreceding, 0)
     cut = F.col("start_time")
     end_of_day = calendar.shift(F.col("day").cast("timestamp_ntz"), DAY + 1)
     held_energy, held_state = (F.last(c, ignorenulls=True).over(so_far) for c in ("_energy", "_state"))
     merged = (
-        spread_groups(energy.unionByName(state, allowMissingColumns=True), "wtg_id", "day")
+        energy.unionByName(state, allowMissingColumns=True)
         .withColumns({"end_time": F.coalesce(F.lead("start_time").over(group), end_of_day), "_e": held_energy, "_s": held_state})
         .where("end_time > start_time")
         .withColumns({"_e": F.when(F.col("_e._mark") >= cut, F.col("_e")), "_s": F.when(F.col("_s.end_time") > cut, F.col("_s"))})
         .where("_e is not null or _s is not null")
     )
-    seconds = expand_seconds(merged.select("wtg_id", "day", "start_time", "end_time", "_e", "_s"))
+    pieces = merged.select(F.col("_turbine").alias("wtg_id"), "day", "start_time", "end_time", "_e", "_s")
     on_mark = F.col("ts") == F.col("_e._mark")
     split = [F.when(on_mark, F.col(f"_e.{n}_last")).otherwise(F.col(f"_e.{n}")).alias(n) for n in ENERGIES.values()]
-    return seconds.select(
+    return expand_seconds(pieces).select(
         "wtg_id", "day", "ts", *[F.col(f"_e.{m}").alias(m) for m in measures], *split, *[F.col(f"_s.{k}").alias(k) for k in kinds]
     )

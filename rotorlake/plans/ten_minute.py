@@ -10,7 +10,7 @@ from rotorlake.operators.cleaning import convert_units, remap_ids
 from rotorlake.operators.joins import MAX_BROADCAST_BYTES, fits_broadcast, lookup_join
 from rotorlake.operators.lookup import asof_lookup, bracket_sets
 from rotorlake.operators.quality import quality_flags, real_energy
-from rotorlake.operators.series import fill_grid, last_per, off_grid
+from rotorlake.operators.series import days_of, fill_grid, last_per, off_grid
 from rotorlake.schemas import TEN_MINUTE_MEASURES
 
 RATINGS = ["rated_power", "rated_torque", "on_grid_rotor_speed", "on_grid_generator_speed"]
@@ -19,15 +19,10 @@ CURVES = {"theory": 1, "active": 3}
 
 
 def unique_marks(raw: DataFrame, order: str = "loaded_at") -> DataFrame:
-    """The last loaded row of each (turbine, mark); rows between the marks are left out, see ``mark_rejects``."""
+    """The last loaded row of each (turbine, mark); rows between the marks are left out."""
     return last_per(raw.where(~off_grid(F.col("datatime"))), ["wtg_id", "datatime"], order, TEN_MINUTE_MEASURES)
 
 
-def mark_rejects(raw: DataFrame) -> DataFrame:
-    """The rows that lie on no ten-minute mark."""
-    return raw.where(off_grid(F.col("datatime")))
-
-
 def clean(
     raw: DataFrame,
     turbines: DataFrame,
@@ -41,7 +36,8 @@ def clean(
         raw = remap_ids(raw, aliases, "wtg_id", "idx", "mdm_id")
     # The ratings join also keeps only turbines of the dimension. It comes last: rows added by the grid get ratings
     # too, where they change nothing, and the row windows below move fewer columns.
-    grid = fill_grid(unique_marks(raw), "wtg_id", "datatime", last_day=last_day)
+    days = days_of(raw.where(~off_grid(F.col("datatime"))), "wtg_id", "datatime", last_day)
+    grid = fill_grid(unique_marks(raw), "wtg_id", "datatime", days=days)
     rated = lookup_join(grid, turbines.select("wtg_id", *RATINGS), "wtg_id")
     flagged = quality_flags(convert_units(rated), missing_rows).drop(*RATINGS)
     return flagged if keep_carry else without_carry(flagged)

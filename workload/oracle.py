@@ -140,20 +140,37 @@ where is_second""",
 }
 
 
-def _spread(source: str, energies: dict[str, str], extra: str = "") -> str:
+def _spread(source: str, energies: dict[str, str], extra: str = "", keep: bool = False) -> str:
     shares = ", ".join(f"round_even({c} / 600, 5) as {n}" for c, n in energies.items())
     picked = ", ".join(
         f"case when i = 0 then round_even({c} - 599 * {n}, 5) else {n} end as {n}" for c, n in energies.items()
     )
     columns = ", ".join(energies)
+    kept = f", {columns}" if keep else ""
     return f"""
-select wtg_id, day, datatime - to_seconds(i) as ts, date_diff('second', day::timestamp, datatime) - i as sod{extra}, {picked}
+select wtg_id, day, datatime - to_seconds(i) as ts, date_diff('second', day::timestamp, datatime) - i as sod{extra}{kept}, {picked}
 from (select *, {shares} from (select wtg_id, day, datatime{extra}, {columns} from {{{source}}}) c) c, (select unnest(range(600)) as i) r"""
 
 
-STEPS["calc_spread"] = _spread(
-    "calc", {"real_approduction_10m": "p0", "theory_approduction_10m": "p1", "active_approduction_10m": "p2"}, ", temoutave"
-)
+ENERGIES = {"real_approduction_10m": "p0", "theory_approduction_10m": "p1", "active_approduction_10m": "p2"}
+STEPS["calc_spread"] = _spread("calc", ENERGIES)
+
+# Columns of the production base in their order, with the decimals that count.
+_DIGITS = [(c, 3) for c in TEN_MINUTE_MEASURES] + [("clean_flag", 0)]
+_DIGITS += [(c, 8) for c in ("air_density", "ntf_wind_speed", "ntf_wind_speed_site", "ntf_wind_speed_standard")]
+_DIGITS += [(f"real_{c}_10m", 3) for c in ("approduction", "rpproduction", "apconsumed", "rpconsumed")]
+_DIGITS += [("real_approduction_10m_errors", 0)]
+_DIGITS += [(f"{n}_{m}_10m", 6) for n in ("theory", "active") for m in ("power", "approduction")]
+_DIGITS += [("p0", 5), ("p1", 5), ("p2", 5)]
+STEPS["calc_all"] = _spread("calc", ENERGIES, "".join(f", {c}" for c, n in _DIGITS if c not in ENERGIES and n != 5), keep=True)
+
+
+def _whole(name: str, digits: int) -> str:
+    value = "temoutave - 273.15" if name == "temoutave" else name
+    return f"cast({name} as bigint)" if digits == 0 else f"cast(round_even(({value}) * {10**digits}, 0) as bigint)"
+
+
+_ROW_CODE = " + ".join(f"{k} * coalesce({_whole(c, n)} % 1000003, 999979)" for k, (c, n) in enumerate(_DIGITS, 1))
 
 
 def _e5(name: str) -> str:
@@ -292,8 +309,8 @@ from {grid} window w as (partition by wtg_id, day order by datatime)) d where da
     "state_dedupe": "select wtg_id, kind, starttime, state_id from {changes}",
     "state_seconds": """
 select wtg_id, day, nc_id, ss_id, sc_id, count(*) as seconds, min(ts) as first_second, max(ts) as last_second,
-  cast(sum(sod) as bigint) as second_sum
-from {states} group by all""",
+  cast(sum(sod) as bigint) as second_sum, cast(sum(sod * 7919 % 10007) as bigint) as second_digest
+from {states} group by wtg_id, day, nc_id, ss_id, sc_id""",
     "energy_seconds": f"""
 select wtg_id, day, cast(extract(hour from ts) as integer) as hour, count(*) as seconds, {', '.join(
     f"count({p}) as {p}_seconds, cast(sum({_e5(p)}) as bigint) as {p}_e5, min({_e5(p)}) as {p}_least_e5, max({_e5(p)}) as {p}_most_e5"
@@ -304,8 +321,9 @@ select coalesce(c.wtg_id, s.wtg_id) as wtg_id, coalesce(c.day, s.day) as day, nc
   cast(sum(coalesce(c.sod, s.sod)) as bigint) as second_sum, count(temoutave) as temperature_seconds,
   cast(sum(cast(round(temoutave - 273.15) as bigint)) as bigint) as temperature_sum,
   cast(sum({_e5('p0')}) as bigint) as production_per_second_e5, cast(sum({_e5('p1')}) as bigint) as theory_production_per_second_e5,
-  cast(sum({_e5('p2')}) as bigint) as actual_production_per_second_e5
-from {{calc_spread}} c full outer join {{states}} s on s.wtg_id = c.wtg_id and s.ts = c.ts group by 1, 2, 3, 4, 5""",
+  cast(sum({_e5('p2')}) as bigint) as actual_production_per_second_e5,
+  cast(sum(({_ROW_CODE}) % 1000003 * (coalesce(c.sod, s.sod) % 97 + 1)) as bigint) as row_digest
+from {{calc_all}} c full outer join {{states}} s on s.wtg_id = c.wtg_id and s.ts = c.ts group by 1, 2, 3, 4, 5""",
     "avg_10m": """
 select time_bucket(interval '10 minutes', data_time) as data_time, round(avg(read_wind_speed), 6) as read_wind_speed,
   round(avg(active_power), 6) as active_power, round(avg(temp_out_door), 6) as temp_out_door
@@ -346,6 +364,7 @@ left join {{masters}} m on m.wtg_id = v[2]""",
     "state_remap": "select s.wtg_id, kind, starttime, msec, state_id from {state_log} s join {wtg_dim} d on d.idx = concat('S', s.wtg_id)",
 }
 BODIES["export_files"] = BODIES["export_clean"]
+BODIES["stage_tables"] = BODIES["production_base"]
 BODIES["station_partitions"] = " union all ".join(
     BODIES["weather_station"].replace(DAY, day) for day in (DAY, "2024-01-05")
 )
@@ -379,7 +398,7 @@ left join curve h on h.wtg_id = s.wtg_id and h.wind_speed_rank = high"""
 DAY_COLUMNS = {
     "rolling_reload": "hp_date",
     **dict.fromkeys(
-        "grid_fill counter_delta state_seconds im_flags missing_flags air_density grouped_map date_spine energy_seconds production_base".split(), "day"
+        "grid_fill counter_delta state_seconds im_flags missing_flags air_density grouped_map date_spine energy_seconds production_base stage_tables".split(), "day"
     ),
 }
 

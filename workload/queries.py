@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from rotorlake.functions import bits, calendar
 from rotorlake.functions.text import partition_spec
 from rotorlake.operators import cleaning, mapping, quality, series
-from rotorlake.plans import minute, per_second, station, ten_minute
+from rotorlake.plans import daily, minute, per_second, station, ten_minute
 from rotorlake.schemas import COUNTERS, STATION_MEASURES, TEN_MINUTE_MEASURES, column_name, create_table
 from rotorlake.session import shared_folder
 from rotorlake.sources import files, relational, tables
@@ -59,6 +59,34 @@ def _e5(col: str):
     return F.rint(F.col(col) * 100000).cast("long")
 
 
+#: Decimals that count of each column of the production base; 8 for small numbers, 3 for measured ones.
+PRODUCTION_DIGITS = {
+    **dict.fromkeys(TEN_MINUTE_MEASURES, 3),
+    "clean_flag": 0,
+    **dict.fromkeys(["air_density", "ntf_wind_speed", "ntf_wind_speed_site", "ntf_wind_speed_standard"], 8),
+    **{f"real_{c}_10m": 3 for c in COUNTERS},
+    "real_approduction_10m_errors": 0,
+    **dict.fromkeys(["theory_power_10m", "theory_approduction_10m", "active_power_10m", "active_approduction_10m"], 6),
+    **dict.fromkeys(per_second.ENERGIES.values(), 5),
+}
+#: A null's code, the modulus of codes, and the weights of seconds.
+NULL_CODE, CODES, WEIGHTS = 999_979, 1_000_003, 97
+
+
+def _row_digest(digits):
+    """Sum over the rows of a code of all columns, weighted by the second of the day.
+
+    Columns are whole numbers after scaling, so both engines sum the same; another value in any column of any second,
+    or a row in another second, changes the sum.
+    """
+    code = F.lit(0).cast("long")
+    for k, (name, n) in enumerate(digits.items(), 1):
+        whole = F.col(name).cast("long") if n == 0 else F.rint(F.col(name) * 10**n).cast("long")
+        code = code + F.coalesce(whole % CODES, F.lit(NULL_CODE)) * k
+    second = _epoch(F.col("ts")) - _epoch(F.col("day"))
+    return F.sum(code % CODES * (second % WEIGHTS + 1))
+
+
 # --- shared steps -------------------------------------------------------------------------------
 
 
@@ -353,6 +381,7 @@ def state_seconds(spark, sf):
         F.min("ts").alias("first_second"),
         F.max("ts").alias("last_second"),
         _second_sum(),
+        F.sum(F.pmod((_epoch(F.col("ts")) - _epoch(F.col("day"))) * 7919, F.lit(10007))).alias("second_digest"),
     )
 
 
@@ -373,19 +402,38 @@ def energy_seconds(spark, sf):
     return spread.groupBy("wtg_id", "day", F.hour("ts").alias("hour")).agg(F.count(F.lit(1)).alias("seconds"), *reports)
 
 
-@query
-def production_base(spark, sf):
-    """Every second with energy and states, reported per combination of states."""
-    seconds = per_second.production_base(_calculated(spark, sf), _logs(spark, sf), _roster(spark, sf))
+def _production_report(seconds):
+    """Seconds per combination of states, with a digest of all columns of every row."""
     return seconds.groupBy("wtg_id", "day", *KINDS).agg(
         F.count(F.lit(1)).alias("seconds"),
         _second_sum(),
         F.count("temoutave").alias("temperature_seconds"),
         F.sum(F.rint("temoutave").cast("long")).alias("temperature_sum"),
         *[F.sum(_e5(n)).alias(n + "_e5") for n in per_second.ENERGIES.values()],
+        _row_digest(PRODUCTION_DIGITS).alias("row_digest"),
     )
 
 
+@query
+def production_base(spark, sf):
+    """Every second with energy and states, reported per combination of states; no column is left out."""
+    return _production_report(per_second.production_base(_calculated(spark, sf), _logs(spark, sf), _roster(spark, sf)))
+
+
+@query
+def stage_tables(spark, sf):
+    """The production base by way of the stage tables of the daily jobs; the later days are run twice."""
+    path = shared_folder(spark, "stages")
+    chain = daily.Stages("stage_" + path.rsplit("-", 1)[1], path, buckets=8)
+    names = ("wtg_dim", "site_dim", "ntf_data", "wtg_pc", "pc_data")
+    dims = [view(spark, sf, n) for n in names]
+    daily.run_clean(chain, view(spark, sf, "telemetry_10m"), dims[0])
+    for days in (None, F.col("day") > F.lit(DAY).cast("date")):
+        daily.run_calculation(chain, dims, days)
+        daily.run_states(chain, _logs(spark, sf), days)
+    return _production_report(daily.production(chain, spark))
+
+
 @query
 def avg_10m(spark, sf):
     means = series.avg_windows(view(spark, sf, "telemetry"), "data_time", ["read_wind_speed", "active_power", "temp_out_door"])
