@@ -11,17 +11,31 @@ from rotorlake.operators.series import avg_windows
 from rotorlake.sources.tables import reload_touched
 
 
-def follow_seconds(spark: SparkSession, folder: str, values: list[str], files_per_batch: int = 100) -> DataFrame:
-    """Stream of ``yyyy-MM-dd HH:mm:ss,v1,v2,...`` files."""
+STAMP = "yyyy-MM-dd HH:mm:ss"
+
+
+def follow_seconds(
+    spark: SparkSession, folder: str, values: list[str], files_per_batch: int = 100, stamp: str = STAMP, mark: str | None = None
+) -> DataFrame:
+    """Stream of ``yyyy-MM-dd HH:mm:ss,v1,v2,...`` files; with ``mark`` a last column of that name tells marks of ``close_day``."""
     schema = T.StructType([T.StructField("ts", T.TimestampType())] + [T.StructField(v, T.DoubleType()) for v in values])
+    if mark:
+        schema = schema.add(mark, T.StringType())
     return (
         spark.readStream.schema(schema)
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+        .option("timestampFormat", stamp)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
     )
 
 
+def close_day(spark: SparkSession, folder: str, day: str, values: list[str], stamp: str = STAMP) -> None:
+    """Add a file that tells a stream with marks that the day is over: its last second, without values."""
+    last = F.date_format(F.lit(f"{day} 23:59:59").cast("timestamp"), stamp)
+    row = spark.range(1).select(last.alias("ts"), *[F.lit(None).cast("string").alias(v) for v in values], F.lit("end").alias("mark"))
+    row.write.mode("append").csv(folder)
+
+
 def ten_minute_means(stream: DataFrame, values: list[str], watermark: str = "10 minutes") -> DataFrame:
     """Closed windows with their day; rows later than the watermark are dropped."""
     means = avg_windows(stream, "ts", values, watermark=watermark)
@@ -41,6 +55,12 @@ def write_by_day(means: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     )
 
 
+def append_files(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Everything that is available to Parquet files, then stop."""
+    writer = rows.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
+    return writer.outputMode("append").trigger(availableNow=True).start()
+
+
 def latest_per_key(stream: DataFrame, key: str, ts: str) -> DataFrame:
     """Carry-over state of a stream: the latest row of each key, one small state row per key."""
     rest = [c for c in stream.columns if c != key]

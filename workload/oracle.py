@@ -363,6 +363,9 @@ join (select protocol_id, max(case when pos = 3 then field_desc end) as f3, max(
 left join {{masters}} m on m.wtg_id = v[2]""",
     "state_remap": "select s.wtg_id, kind, starttime, msec, state_id from {state_log} s join {wtg_dim} d on d.idx = concat('S', s.wtg_id)",
 }
+BODIES["stream_means"] = BODIES["avg_10m"]
+BODIES["carry_stream"] = BODIES["carry_union"]
+BODIES["late_files"] = "select event_id, wtg_id, cast(data_time as date) as hp_date from {telemetry}"
 BODIES["export_files"] = BODIES["export_clean"]
 BODIES["stage_tables"] = BODIES["production_base"]
 BODIES["station_partitions"] = " union all ".join(
@@ -397,6 +400,7 @@ left join curve h on h.wtg_id = s.wtg_id and h.wind_speed_rank = high"""
 # Days are compared as text: engines hand a date to pandas in different types.
 DAY_COLUMNS = {
     "rolling_reload": "hp_date",
+    "late_files": "hp_date",
     **dict.fromkeys(
         "grid_fill counter_delta state_seconds im_flags missing_flags air_density grouped_map date_spine energy_seconds production_base stage_tables".split(), "day"
     ),

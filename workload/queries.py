@@ -16,9 +16,12 @@ from rotorlake.plans import daily, minute, per_second, station, ten_minute
 from rotorlake.schemas import COUNTERS, STATION_MEASURES, TEN_MINUTE_MEASURES, column_name, create_table
 from rotorlake.session import shared_folder
 from rotorlake.sources import files, relational, tables
+from rotorlake.streaming import jobs, stateful
 from workload.views import view
 
 DAY = "2024-01-04"
+#: Where the runs of streams over all days are cut.
+MIDDLE = "2024-01-15"
 KINDS = ["nc_id", "ss_id", "sc_id"]
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -440,6 +443,60 @@ def avg_10m(spark, sf):
     return _rounded(means, ["read_wind_speed", "active_power", "temp_out_door"], 6)
 
 
+@query
+def stream_means(spark, sf):
+    """The means by streams that run twice; the second run brings late rows of the first run's days, which are dropped."""
+    values = ["read_wind_speed", "active_power", "temp_out_door"]
+    base = shared_folder(spark, "seconds")
+    stamp = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    rows = view(spark, sf, "telemetry").select(F.date_format("data_time", stamp).alias("ts"), *values, F.lit(None).cast("string").alias("mark"), "event_id")
+    first = F.col("ts") < MIDDLE
+    days = rows.agg(F.max(F.when(first, F.col("ts"))).substr(1, 10), F.max("ts").substr(1, 10)).first()
+    for run, (chosen, last) in enumerate([(first, days[0]), (~first | (F.col("event_id") % 7 == 0), days[1])]):
+        rows.where(chosen).drop("event_id").write.mode("append").csv(f"{base}/in/{run}")
+        if last:
+            jobs.close_day(spark, f"{base}/in/{run}", last, values, stamp)
+        # One batch a run: files of one run come in no order.
+        stream = jobs.follow_seconds(spark, f"{base}/in/*", values, 1_000_000, stamp, "mark")
+        with stateful.state_store(spark):
+            means = stateful.day_end_means(stream, "ts", values).withColumn("date", F.date_format("ts", "yyyy-MM-dd"))
+            jobs.write_by_day(means, f"{base}/out", f"{base}/cp").awaitTermination()
+    found = spark.read.schema("ts timestamp, " + ", ".join(f"{v} double" for v in values)).parquet(f"{base}/out")
+    return _rounded(found.select(F.col("ts").cast("timestamp_ntz").alias("data_time"), *values), values, 6)
+
+
+@query
+def carry_stream(spark, sf):
+    """``carry_union`` by a stream: one run brings the rows before the day, the next one the day's."""
+    base = shared_folder(spark, "marks")
+    marks = ten_minute.unique_marks(view(spark, sf, "telemetry_10m"))
+    start = F.lit(DAY).cast("date").cast("timestamp_ntz")
+    today = relational.time_range(marks, "datatime", DAY)
+    for rows in (marks.where(F.col("datatime") <= start), today):
+        rows.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(marks.schema).parquet(f"{base}/in")
+        with stateful.state_store(spark):
+            jobs.append_files(stateful.carried_rows(stream, "wtg_id", "datatime"), f"{base}/out", f"{base}/cp").awaitTermination()
+    # Earlier midnights were handed out in the first run, where their days came.
+    carried = spark.read.schema(marks.schema).parquet(f"{base}/out").where(F.col("datatime") == start)
+    union = series.carry_union(carried.withColumn("carried", F.lit(True)), today)
+    return union.withColumn("carried", F.coalesce("carried", F.lit(False)))
+
+
+@query
+def late_files(spark, sf):
+    """Every tenth row comes late; the days it touches are written anew from all files."""
+    base = shared_folder(spark, "late")
+    rows = view(spark, sf, "telemetry").select("event_id", "wtg_id", F.to_date("data_time").alias("hp_date"))
+    schema = "event_id long, wtg_id string, hp_date date"
+    for late in (False, True):
+        rows.where((F.col("event_id") % 10 == 0) == F.lit(late)).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1000).parquet(f"{base}/in")
+        source = lambda: spark.read.schema(schema).parquet(f"{base}/in")
+        jobs.reload_each_batch(stream, f"{base}/table", source, "hp_date", ["hp_date"], f"{base}/cp").awaitTermination()
+    return tables.read_partitions(spark, f"{base}/table").select("event_id", "wtg_id", "hp_date")
+
+
 @query
 def date_spine(spark, sf):
     """Every day between the first and the last order, with the orders of that day: what a backfill has to run."""
