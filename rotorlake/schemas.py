@@ -201,6 +201,10 @@ WYAW.YawCCWSts WYAW.YawCWSts WYAW.YawSts
 """.split()
 
 
+#: Times of delimited tables.
+TEXT_STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
 def column_name(alias: str) -> str:
     return alias.replace(".", "_")
 
@@ -211,10 +215,21 @@ SECOND_STANDARD = T.StructType(
 )
 
 
-def create_table(spark, name: str, schema: T.StructType, partitions: list[str], location: str) -> None:
-    """External partitioned Parquet table at ``location``."""
+def create_table(
+    spark, name: str, schema: T.StructType, partitions: list[str], location: str, sep: str | None = None, rows_per_file: int = 0
+) -> None:
+    """External partitioned table at ``location``: Parquet, or with ``sep`` delimited text, where ``\\N`` is null.
+
+    ``rows_per_file`` cuts the files of everything that is written to it by name.
+    """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     keys = ", ".join(f"`{p}`" for p in partitions)
+    options = {"sep": sep, "nullValue": r"\N", "timestampNTZFormat": TEXT_STAMP} if sep else {}
+    if rows_per_file:
+        options["maxRecordsPerFile"] = rows_per_file
+    listed = ", ".join("'{}' '{}'".format(k, str(v).replace("\\", "\\\\")) for k, v in options.items())
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({keys}) LOCATION '{location}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {'csv' if sep else 'parquet'} "
+        + (f"OPTIONS ({listed}) " if options else "")
+        + f"PARTITIONED BY ({keys}) LOCATION '{location}'"
     )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rotorlake.functions.text import pairs_text
 from rotorlake.operators.joins import lookup_join
+from rotorlake.session import shared_folder
 
 CORRUPT = "_corrupt"
 
@@ -55,6 +58,37 @@ def _folder(file: str) -> Column:
     return F.array_join(F.slice(F.split(file, "/"), -5, 4), "/")
 
 
+def numbered_lines(spark: SparkSession, path: str | list[str], split_bytes: int | None = None) -> DataFrame:
+    """All lines of text files as (file, block, line, n_fields, value), read once and written to the shared folder.
+
+    ``block`` is where a line's split starts in its file and ``line`` its number in the file, from 0. A file of any
+    size is read in splits, of ``split_bytes`` if given. Lines are numbered within their split as they are read; the
+    lines before a split come from a table with one row a split.
+    """
+    conf = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(conf)
+    stored = shared_folder(spark, "lines")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        F.size(F.split(F.trim("value"), ",")).alias("n_fields"),
+        "value",
+    )
+    try:
+        if split_bytes:
+            spark.conf.set(conf, str(split_bytes))
+        lines.write.parquet(stored)
+    finally:
+        spark.conf.set(conf, old)
+    lines = spark.read.schema(lines.schema).parquet(stored)
+    splits = lines.groupBy("file", "block").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.select("file", "block", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    numbered = lookup_join(lines, splits, ["file", "block"])
+    return numbered.select("file", "block", (F.col("before") + F.col("place") - F.col("first")).alias("line"), "n_fields", "value")
+
+
 def unowned_lines(spark: SparkSession, path: str | list[str], ids: DataFrame) -> DataFrame:
     """Lines (headers too) of files whose folder has no ids, which ``read_header_csv`` leaves out."""
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value").withColumn("folder", _folder("file"))
@@ -62,39 +96,48 @@ def unowned_lines(spark: SparkSession, path: str | list[str], ids: DataFrame) ->
     return owned.where("wtg_id is null").select("file", "value")
 
 
-def read_header_csv(spark: SparkSession, path: str | list[str], ids: DataFrame, stop_at_bad: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Turbine day files, each with its own header, as (``key:value`` rows, rejected lines).
+def read_header_csv(
+    spark: SparkSession, path: str | list[str], ids: DataFrame, stop_at_bad: bool = False, split_bytes: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Turbine day files, each with its own header, as (``key:value`` rows, rejected lines with their numbers).
 
-    ``ids`` gives wtg_id and site_id per folder; for other folders see ``unowned_lines``. Files are read as split lines, so a large file is
-    shared by many tasks. A row whose field count differs from its file's header is rejected; with
-    ``stop_at_bad`` the rest of that file is left out too.
+    ``ids`` gives wtg_id and site_id per folder; for other folders see ``unowned_lines``. A row whose field count
+    differs from its file's header is rejected; with ``stop_at_bad`` the rest of that file is left out too. The text
+    is read once, as ``numbered_lines``; headers and first bad lines come from one row for each file and field count.
     """
-    lines = spark.read.text(path).select(
-        "value",
-        F.col("_metadata.file_path").alias("file"),
-        # Place of a line in its file: start of the split, then the running number within the task.
-        F.struct(
-            F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")
-        ).alias("place"),
-    )
-    headers = (
-        lines.where("place.block = 0")
-        .groupBy("file")
-        .agg(F.min_by("value", "place.line").alias("header"), F.min("place.line").alias("header_line"))
-    )
-    body = lookup_join(lines, headers, "file").where("place.block > 0 or place.line > header_line")
-    names, values = F.split(F.trim("header"), ","), F.split(F.trim("value"), ",")
-    checked = body.select("file", "place", "value", names.alias("names"), values.alias("fields"))
-    fits = F.size("names") == F.size("fields")
-    rejects = checked.where(~fits).select("file", "value")
+    lines = numbered_lines(spark, path, split_bytes)
+    kinds = lines.where("line > 0").groupBy("file", "n_fields").agg(F.min("line").alias("line"))
+    headers = lines.where("line = 0").select("file", F.col("value").alias("header"), F.col("n_fields").alias("wanted"))
+    stops = lookup_join(kinds, headers, "file").where("n_fields <> wanted").groupBy("file").agg(F.min("line").alias("stop"))
+    headers = headers.join(stops, "file", "left")
+    body = lookup_join(lines.where("line > 0"), headers, "file")
+    fits = F.col("n_fields") == F.col("wanted")
+    rejects = body.where(~fits)
     if stop_at_bad:
-        first_bad = checked.where(~fits).groupBy("file").agg(F.min("place").alias("stop"))
-        checked = lookup_join(checked, first_bad, "file", "left").where("stop is null or place < stop")
-    folder = _folder("file")
-    owned = lookup_join(checked.where(fits).withColumn("folder", folder), ids.select("folder", "wtg_id", "site_id"), "folder")
+        body = body.where("stop is null or line < stop")
+    own = lookup_join(body.where(fits).withColumn("folder", _folder("file")), ids.select("folder", "wtg_id", "site_id"), "folder")
     own_ids = F.concat(F.lit("site_id:"), F.col("site_id"), F.lit(",wtg_id:"), F.col("wtg_id"))
-    row = F.concat_ws(",", pairs_text(F.col("names"), F.col("fields")), own_ids)
-    return owned.select("wtg_id", "site_id", row.alias("all_key_value")), rejects
+    row = F.concat_ws(",", pairs_text(F.split(F.trim("header"), ","), F.split(F.trim("value"), ",")), own_ids)
+    return own.select("wtg_id", "site_id", row.alias("all_key_value")), rejects.select("file", "line", "value")
+
+
+def read_tagged(spark: SparkSession, roots: dict[str, str], glob: str = "") -> DataFrame:
+    """Lines of several folders in one scan, as (tag, file, value).
+
+    ``roots`` names the tag of each folder; ``glob`` is added to each, such as ``/ds=*/*.csv`` for all partitions of a
+    level. Rows are told apart by the file that they come from; of folders inside each other the deepest counts.
+    """
+    lines = spark.read.text([root.rstrip("/") + glob for root in roots.values()])
+    file = F.col("_metadata.file_path")
+    tag = F.lit(None).cast("string")
+    for name, root in sorted(roots.items(), key=lambda r: len(r[1])):
+        tag = F.when(F.contains(file, F.lit(_local(root).rstrip("/") + "/")), F.lit(name)).otherwise(tag)
+    return lines.select(tag.alias("tag"), file.alias("file"), "value")
+
+
+def _local(path: str) -> str:
+    """A path without scheme and host, as it occurs in the path of every file below it."""
+    return re.sub("^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", "", path)
 
 
 def with_path_columns(df: DataFrame, file_name: str = "file_name") -> DataFrame:

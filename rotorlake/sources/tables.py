@@ -36,6 +36,34 @@ def read_partitions(spark: SparkSession, path: str, condition: Column | None = N
     return df if condition is None else df.where(condition)
 
 
+def write_by_name(df: DataFrame, table: str, keys: list[str]) -> None:
+    """Add rows to a catalog table in its own layout; each partition is written by one task."""
+    columns = df.sparkSession.table(table).columns
+    df.repartition(*keys).select(*columns).write.insertInto(table)
+
+
+def days_present(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The days that a partitioned table has, as text yyyyMMdd; its folders may have either form of a day."""
+    days = spark.read.parquet(path).select(F.col(key).cast("string").alias("day")).distinct()
+    return days.select(F.regexp_replace("day", "-", "").alias("day"))
+
+
+def days_to_run(runs: DataFrame, present: dict[str, DataFrame], offsets: dict[str, tuple[int, int]], epoch: str = "epoch") -> DataFrame:
+    """Rows (job, day) that the runs should have made and that no partition holds.
+
+    ``offsets`` gives for each job the hours from a run back to its day, and how many days before that it reloads;
+    ``present`` the days (column ``day``, yyyyMMdd) that each job's table has.
+    """
+    wanted, had = None, None
+    for job, (hours, back) in offsets.items():
+        last = F.to_date(calendar.run_day(F.col(epoch), hours), "yyyyMMdd")
+        one = runs.select(F.explode(F.sequence(F.date_sub(last, back), last)).alias("day")).distinct()
+        one = one.select(F.lit(job).alias("job"), F.date_format("day", "yyyyMMdd").alias("day"))
+        there = present[job].select(F.lit(job).alias("job"), "day")
+        wanted, had = (one, there) if wanted is None else (wanted.unionByName(one), had.unionByName(there))
+    return wanted.join(had.distinct(), ["job", "day"], "left_anti")
+
+
 def register_partitions(spark: SparkSession, table: str, partitions: DataFrame, batch: int = 500) -> int:
     """``ADD IF NOT EXISTS PARTITION`` for each row (``spec`` like ``site="1", day="2"``, ``location``).
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rotorlake.functions.text import partition_spec
+from rotorlake.schemas import create_table
 from rotorlake.session import shared_folder
 from rotorlake.sources import files, relational, tables
 
@@ -46,6 +47,59 @@ def test_large_header_file_is_split(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
+def test_line_numbers_run_over_splits_and_text_is_read_once(spark, tmp_path):
+    good = [f"{i},{'y' * (i % 40)}" for i in range(3000)]
+    put(tmp_path / "a/c/20240102/minute/m.csv", "\n".join(["n,x", *good[:2000], "bad", *good[2000:], "worse,1,2"]))
+    put(tmp_path / "a/d/20240102/minute/m.csv", "n\n1\n2,3\n")
+    put(tmp_path / "a/e/20240102/minute/m.csv", "only,a,header")
+    put(tmp_path / "a/f/20240102/minute/m.csv", "")
+    ids = spark.createDataFrame([(f"a/{t}/20240102/minute", t, "S") for t in "cdef"], "folder string, wtg_id string, site_id string")
+    glob = f"{tmp_path}/*/*/*/*/*.csv"
+    lines = files.numbered_lines(spark, glob, split_bytes=1000)
+    assert lines.select("file", "block").distinct().count() > 40
+    found = {r.line: r.value for r in lines.where("file like '%/c/%'").collect()}
+    assert [found[k] for k in range(3003)] == ["n,x", *good[:2000], "bad", *good[2000:], "worse,1,2"]
+    setting = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for stop, n in ((False, 3001), (True, 2001)):
+        kept, rejects = files.read_header_csv(spark, glob, ids, stop, split_bytes=1000)
+        assert kept.count() == n
+        assert sorted((r.line, r.value) for r in rejects.collect()) == [(2, "2,3"), (2001, "bad"), (3002, "worse,1,2")]
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan text" not in plan and "FileScan parquet" in plan
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == setting
+
+
+def test_one_scan_of_several_folders(spark, tmp_path):
+    put(tmp_path / "t/ds=1/x.txt", "a\n")
+    put(tmp_path / "t/ds=2/x.txt", "b\nc\n")
+    put(tmp_path / "t_more/ds=1/x.txt", "d\n")
+    put(tmp_path / "t/inner/ds=1/x.txt", "e\n")
+    roots = {"one": f"{tmp_path}/t", "two": f"file://{tmp_path}/t_more/", "deep": f"{tmp_path}/t/inner"}
+    lines = files.read_tagged(spark, roots, "/ds=*/*.txt")
+    assert lines._jdf.queryExecution().executedPlan().toString().count("FileScan text") == 1
+    assert sorted((r.tag, r.value) for r in lines.collect()) == [("deep", "e"), ("one", "a"), ("one", "b"), ("one", "c"), ("two", "d")]
+
+
+def test_delimited_table_keeps_values_and_cuts_files(spark, tmp_path):
+    schema = T.StructType.fromDDL("a string, b double, t timestamp_ntz, d string")
+    rows = [("x", 1.5, dt.datetime(2024, 1, 1, 2, 3, 4, 5), "p"), (None, None, None, "p"), ("", 2.0, None, "q"), ("\\y", -0.25, None, "q")]
+    for sep in ("\x01", ",", "\t"):
+        name = f"text_table_{ord(sep)}"
+        create_table(spark, name, schema, ["d"], str(tmp_path / name), sep, rows_per_file=1)
+        tables.write_by_name(spark.createDataFrame(rows, schema), name, ["d"])
+        assert sorted(map(str, spark.table(name).collect())) == sorted(map(str, spark.createDataFrame(rows, schema).collect()))
+        assert all(len(list((tmp_path / name / d).glob("*.csv"))) == 2 for d in ("d=p", "d=q"))
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_days_to_run(spark):
+    at = lambda day, hour: int(dt.datetime(2024, 1, day, hour, tzinfo=dt.timezone.utc).timestamp())
+    runs = spark.createDataFrame([(at(5, 3),), (at(5, 12),), (at(5, 12),)], "epoch long")
+    present = {"daily": spark.createDataFrame([("20240104",)], "day string"), "reload": spark.createDataFrame([("20240103",)], "day string")}
+    got = tables.days_to_run(runs, present, {"daily": (24, 0), "reload": (9, 2)})
+    assert sorted(tuple(r) for r in got.collect()) == [("reload", "20240102"), ("reload", "20240104"), ("reload", "20240105")]
+
+
 def test_delimited_rejects(spark, tmp_path):
     put(tmp_path / "t.csv", "id,ts,x\n1,2016-03-10 00:10:00,2.5\n2,nonsense,1\n3,2016-03-10 00:20:00,\\N\n")
     schema = T.StructType.fromDDL("id long, ts timestamp_ntz, x double")

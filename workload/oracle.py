@@ -251,6 +251,41 @@ select wtg_id, site_id, case when site_id = 'site0'
     then concat('event_id:', cast(event_id as string), ',note:ok,temout:', t)
     else concat('temout:', t, ',event_id:', cast(event_id as string), ',note:ok') end || concat(',site_id:', site_id, ',wtg_id:', wtg_id) as all_key_value
 from (select *, coalesce(cast(cast(temp_out_door as bigint) as string), 'N/A') as t from {telemetry}) x where event_id % 50 <> 0""",
+    "header_csv_stop": """
+select wtg_id, site_id, case when site_id = 'site0'
+    then concat('event_id:', cast(event_id as string), ',note:ok,temout:', t)
+    else concat('temout:', t, ',event_id:', cast(event_id as string), ',note:ok') end || concat(',site_id:', site_id, ',wtg_id:', wtg_id) as all_key_value
+from (select *, coalesce(cast(cast(temp_out_door as bigint) as string), 'N/A') as t,
+    min(case when event_id % 50 = 0 then event_id end) over (partition by site_id, wtg_id, strftime(data_time, '%Y%m')) as bad
+  from {telemetry}) x
+where bad is null or event_id < bad""",
+    "header_csv_rejects": """
+select wtg_id, line, case when site_id = 'site0' then concat(cast(event_id as string), ',a,b,', t)
+  else concat(t, ',', cast(event_id as string), ',a,b') end as value
+from (select *, coalesce(cast(cast(temp_out_door as bigint) as string), 'N/A') as t,
+    row_number() over (partition by site_id, wtg_id, strftime(data_time, '%Y%m') order by event_id) as line
+  from {telemetry}) x
+where event_id % 50 = 0""",
+    "tagged_scan": """
+select 'curve' as tag, concat_ws(chr(1), wtg_id, cast(wind_speed_rank as string), created_time) as value, substring(created_time, 1, 4) as part
+from {power_curve}
+union all
+select 'fact', concat_ws(chr(1), wtg_id, cast(event_id as string)), strftime(data_time, '%Y%m%d') from {telemetry}""",
+    "delimited_tables": """
+select strftime(data_time, '%Y-%m-%d') as hp_date, count(*) as n_rows, cast(ceil(count(*) / 100) as bigint) as n_files,
+  least(count(*), 100) as most_rows, cast(sum(event_id) as bigint) as ids, cast(sum(cast(wtg_id as bigint)) as bigint) as turbines,
+  cast(sum(epoch_us(date_trunc('second', data_time)) // 1000000) as bigint) as times, count(temp_out_door) as known, sum(temp_out_door) as temperatures
+from {telemetry} group by 1""",
+    "days_to_run": """
+with runs as (select distinct date_trunc('hour', data_time) as run from {telemetry}),
+wanted as (
+  select 'daily' as job, cast(run - interval 24 hour as date) as day from runs
+  union select 'hourly', cast(run - interval 9 hour as date) from runs
+  union select 'reload', cast(run - interval 9 hour as date) - cast(i as integer) from runs, range(3) t(i)),
+had as (
+  select distinct job, cast(data_time as date) as day
+  from {telemetry}, (values ('daily', 3), ('hourly', 4), ('reload', 5)) j(job, every) where day(data_time) % every <> 0)
+select job, strftime(day, '%Y%m%d') as day from wanted where (job, day) not in (select (job, day) from had)""",
     "alias_path_map": """
 select wtg_id, site_id, concat(split_part(alias, '.', 1), '/', split_part(alias, '.', 3), '/20240102/minute') as folder,
   'minute_20240102.csv' as file_name

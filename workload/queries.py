@@ -138,10 +138,8 @@ def delimited_scan(spark, sf):
     return files.read_delimited(spark, path, T.StructType.fromDDL(schema), sep="\x01", timestamp_format=stamp)
 
 
-@query
-def header_csv_ingest(spark, sf):
-    """Turbine files of two kinds of header, some rows with one field too many."""
-    base = shared_folder(spark, "turbine-files")
+def _turbine_files(spark, sf, base):
+    """Turbine files of two kinds of header, rows by event, some with one field too many; (globs, ids of the folders)."""
     note = F.when(F.col("event_id") % 50 == 0, F.lit("a,b")).otherwise(F.lit("ok"))
     rows = view(spark, sf, "telemetry").select(
         F.col("site_id").alias("a"),
@@ -156,15 +154,90 @@ def header_csv_ingest(spark, sf):
     heads = {"site0": ["event_id", "note", "temout"], "other": ["temout", "event_id", "note"]}
     for kind, cols in heads.items():
         chosen = F.col("a") == "site0" if kind == "site0" else F.col("a") != "site0"
-        writer = rows.where(chosen).select(*keys, *cols).repartition("c").write.option("header", True)
-        writer.option("quote", "\u0000").option("emptyValue", "").option("nullValue", "N/A").partitionBy(*keys).csv(f"{base}/{kind}")
+        spread = rows.where(chosen).select(*keys, *cols).repartition("c").sortWithinPartitions(*keys, "event_id")
+        writer = spread.write.option("header", True).option("quote", "\u0000").option("emptyValue", "").option("nullValue", "N/A")
+        writer.partitionBy(*keys).csv(f"{base}/{kind}")
     ids = rows.select(*keys).distinct().select(
         F.concat_ws("/", *[F.concat(F.lit(k + "="), F.col(k)) for k in keys]).alias("folder"),
         F.col("c").alias("wtg_id"),
         F.col("a").alias("site_id"),
     )
-    kept, _ = files.read_header_csv(spark, [f"{base}/{k}/*/*/*/*/*.csv" for k in heads], ids)
-    return kept
+    return [f"{base}/{k}/*/*/*/*/*.csv" for k in heads], ids
+
+
+@query
+def header_csv_ingest(spark, sf):
+    """Turbine files with rows that are left out."""
+    globs, ids = _turbine_files(spark, sf, shared_folder(spark, "turbine-files"))
+    return files.read_header_csv(spark, globs, ids)[0]
+
+
+@query
+def header_csv_stop(spark, sf):
+    """The same files, each read in several splits up to its first bad row."""
+    globs, ids = _turbine_files(spark, sf, shared_folder(spark, "turbine-files"))
+    return files.read_header_csv(spark, globs, ids, stop_at_bad=True, split_bytes=600)[0]
+
+
+@query
+def header_csv_rejects(spark, sf):
+    """The rows left out, with their true line numbers."""
+    globs, ids = _turbine_files(spark, sf, shared_folder(spark, "turbine-files"))
+    rejects = files.read_header_csv(spark, globs, ids, split_bytes=600)[1]
+    place = F.split("file", "/")
+    return rejects.select(F.substring_index(F.element_at(place, -4), "=", -1).alias("wtg_id"), "line", F.translate("value", "\u0000", "").alias("value"))
+
+
+@query
+def tagged_scan(spark, sf):
+    """Curve points and staged rows, partitions of two levels, in one scan; rows told apart by their folder."""
+    base = shared_folder(spark, "tagged")
+    curve = view(spark, sf, "power_curve")
+    ds = F.substring("created_time", 1, 4).alias("hp_ds")
+    curve.select(F.concat_ws("\x01", "wtg_id", "wind_speed_rank", "created_time").alias("value"), ds).write.partitionBy("hp_ds").text(f"{base}/curve")
+    fact = view(spark, sf, "telemetry")
+    line = F.concat_ws("\x01", "wtg_id", F.col("event_id").cast("string")).alias("value")
+    fact.select(line, F.date_format("data_time", "yyyyMMdd").alias("hp_date")).write.partitionBy("hp_date").text(f"{base}/curve_fact")
+    lines = files.read_tagged(spark, {"curve": f"{base}/curve", "fact": f"{base}/curve_fact"}, "/hp_*=*")
+    return lines.select("tag", "value", F.regexp_extract("file", "/hp_[a-z]+=([^/]+)/", 1).alias("part"))
+
+
+@query
+def delimited_tables(spark, sf):
+    """Rows through a catalog table of \\001 text into one of comma text, by name; files are cut at 100 rows."""
+    base = shared_folder(spark, "delimited-tables")
+    schema = T.StructType.fromDDL("event_id long, wtg_id string, data_time timestamp_ntz, temp_out_door double, hp_date string")
+    day = F.date_format("data_time", "yyyy-MM-dd").alias("hp_date")
+    rows = view(spark, sf, "telemetry").select("event_id", "wtg_id", "data_time", "temp_out_door", day)
+    for kind, sep in (("ods", "\x01"), ("dw", ",")):
+        name = f"{kind}_{base.rsplit('-', 1)[1]}"
+        create_table(spark, name, schema, ["hp_date"], f"{base}/{kind}", sep, rows_per_file=100)
+        tables.write_by_name(rows, name, ["hp_date"])
+        rows = spark.table(name)
+    per_file = rows.groupBy("hp_date", F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("event_id").alias("ids"),
+        F.sum(F.col("wtg_id").cast("long")).alias("turbines"),
+        F.sum(_epoch(F.col("data_time"))).alias("times"),
+        F.count("temp_out_door").alias("known"),
+        F.sum("temp_out_door").alias("temperatures"),
+    )
+    sums = [F.sum(c).alias(c) for c in ("ids", "turbines", "times", "known", "temperatures")]
+    return per_file.groupBy("hp_date").agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_files"), F.max("n").alias("most_rows"), *sums)
+
+
+@query
+def days_to_run(spark, sf):
+    """Days that daily, hourly and reloading jobs should have made, one run each hour with rows, and have not."""
+    base = shared_folder(spark, "runs")
+    rows = view(spark, sf, "telemetry").select("event_id", "data_time", F.date_format("data_time", "yyyyMMdd").alias("hp_date"))
+    jobs_of = {"daily": (24, 0), "hourly": (9, 0), "reload": (9, 2)}
+    present = {}
+    for k, job in enumerate(jobs_of):
+        tables.overwrite_partitions(rows.where(F.dayofmonth("data_time") % (3 + k) != 0), f"{base}/{job}", ["hp_date"])
+        present[job] = tables.days_present(spark, f"{base}/{job}", "hp_date")
+    runs = rows.select(F.unix_seconds(F.date_trunc("hour", "data_time").cast("timestamp")).alias("epoch"))
+    return tables.days_to_run(runs, present, jobs_of)
 
 
 @query
