@@ -31,10 +31,14 @@ def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     return measured_bytes(df) <= max_bytes
 
 
+def row_hash(df: DataFrame):
+    """A hash of the row's content only, so a re-run task gives every row the same one."""
+    return F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+
+
 def row_salt(df: DataFrame, salts: int = SALTS):
-    """Salt that depends on the row's content only, so a re-run task gives every row the same one."""
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")
+    """Salt that depends on the row's content only."""
+    return F.pmod(row_hash(df), F.lit(salts)).cast("int")
 
 
 def salted_join(fact: DataFrame, dim: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS) -> DataFrame:

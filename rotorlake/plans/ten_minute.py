@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rotorlake.functions import bits, physics
 from rotorlake.operators.cleaning import convert_units, remap_ids
 from rotorlake.operators.joins import MAX_BROADCAST_BYTES, fits_broadcast, lookup_join
-from rotorlake.operators.lookup import asof_lookup, bracket_sets
+from rotorlake.operators.lookup import asof_lookup, bracket_sets, merge_sets, unique_points
 from rotorlake.operators.quality import quality_flags, real_energy
 from rotorlake.operators.series import days_of, fill_grid, last_per, off_grid
 from rotorlake.schemas import TEN_MINUTE_MEASURES
@@ -107,21 +107,35 @@ def predicted_power(df: DataFrame, curves: DataFrame, max_bytes: int = MAX_BROAD
 def assigned_power(df: DataFrame, assignment: DataFrame, points: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``predicted_power`` for curves that many turbines share.
 
-    The fact gets the ids of its turbine's curves, and the points are read by curve, so they are never repeated for
-    each turbine. Of several curves of one type the greatest id counts.
+    The fact gets the ids of its turbine's curves, and the points are read by curve, so they are not repeated for
+    each turbine; where they are too many to send, they are repeated for each two curves that occur together, so that
+    the fact is shuffled once for both. Of several curves of one type the greatest id counts.
     """
     value, rank = "ntf_wind_speed_standard", "wind_speed_rank"
-    own = {f"_{n}_pc": F.max(F.when(F.col("pc_type") == t, F.col("pc_id"))).alias(f"_{n}_pc") for n, t in CURVES.items()}
-    looked = lookup_join(df, assignment.groupBy("wtg_id").agg(*own.values()), "wtg_id", "left")
-    limit = max_bytes if fits_broadcast(points, max_bytes) else -1
+    ids = [f"_{n}_pc" for n in CURVES]
+    own = assignment.groupBy("wtg_id").agg(*[F.max(F.when(F.col("pc_type") == t, F.col("pc_id"))).alias(i) for t, i in zip(CURVES.values(), ids, strict=True)])
+    looked = lookup_join(df, own, "wtg_id", "left")
+    if fits_broadcast(points, max_bytes):
+        for name, pc_id in zip(CURVES, ids, strict=True):
+            curve = points.select(F.col("pc_id").alias(pc_id), rank, "power")
+            looked = bracket_sets(looked, curve, pc_id, value, rank, {name: F.lit(True)}, max_bytes, measured=True)
+    else:
+        # Rows meet the points of all their curves at once, by the ids that occur together.
+        together = own.select(F.struct(*ids).alias("_pcs")).distinct()
+        known = None
+        for name, pc_id in zip(CURVES, ids, strict=True):
+            one = together.join(points.select(F.col("pc_id").alias("_pc"), rank, "power"), F.col(f"_pcs.{pc_id}") == F.col("_pc"))
+            one = one.select("_pcs", rank, "power", F.lit(name).alias("_of"))
+            known = one if known is None else known.unionByName(one)
+        sets = {n: F.col("_of") == n for n in CURVES}
+        unique = unique_points(known, "_pcs", rank, sets)
+        looked = merge_sets(looked.withColumn("_pcs", F.struct(*ids)), unique, "_pcs", value, rank, list(sets)).drop("_pcs")
     out = {}
     for name in CURVES:
-        curve = points.select(F.col("pc_id").alias(f"_{name}_pc"), rank, "power")
-        looked = bracket_sets(looked, curve, f"_{name}_pc", value, rank, {name: F.lit(True)}, limit, measured=True)
         low, high = F.col(name + "_lo"), F.col(name + "_hi")
         power = physics.interpolate(low[rank], low["power"], high[rank], high["power"], F.col(value))
         out |= {f"{name}_power_10m": power, f"{name}_approduction_10m": power / F.lit(6.0)}
-    return looked.withColumns(out).drop(*own, *[name + side for name in CURVES for side in ("_lo", "_hi")])
+    return looked.withColumns(out).drop(*ids, *[name + side for name in CURVES for side in ("_lo", "_hi")])
 
 
 def calculate(

@@ -5,15 +5,22 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def local_session(app: str = "rotorlake", cores: str = "8", memory: str = "12g") -> SparkSession:
-    """Session for tests and the bench; a cluster job brings its own session."""
+    """Session for tests and the bench; a cluster job brings its own session.
+
+    Where no shared folder is set, this one machine's temporary folder serves.
+    """
+    builder = SparkSession.builder
+    if not SparkConf().get(CHECKPOINT_CONF, None):
+        builder = builder.config(CHECKPOINT_CONF, tempfile.mkdtemp(prefix="rotorlake-"))
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
@@ -31,14 +38,8 @@ def local_session(app: str = "rotorlake", cores: str = "8", memory: str = "12g")
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared folder that ``spark.checkpoint.dir`` names.
-
-    Only a local-mode session without that setting (tests) gets a folder of its own.
-    """
+    """A fresh folder below the shared folder that ``spark.checkpoint.dir`` names."""
     base = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors can reach")
-        base = tempfile.mkdtemp(prefix="rotorlake-")
-        spark.conf.set(CHECKPOINT_CONF, base)
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors can reach")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -174,3 +174,66 @@ def test_lines_of_unknown_folders_are_listed(spark, tmp_path):
     assert kept.count() == 1 and {r["value"] for r in rejects.collect()} == {"3"}
     unowned = files.unowned_lines(spark, str(tmp_path / "*/*/*/*/*.csv"), ids).collect()
     assert sorted(r["value"] for r in unowned) == ["1,2", "3", "x,y"] and all("/u/" in r["file"] for r in unowned)
+
+
+def loop_brackets(points, facts, sets):
+    """For each row the greatest knot at or below its value and the least above it, per set."""
+    out = {}
+    for i, k, x in facts:
+        found = []
+        for chosen in sets:
+            knots = {}
+            for key, rank, power in points:
+                if key == k and key is not None and rank is not None and chosen(power):
+                    knots[rank] = max(knots.get(rank, power), power)
+            low = max((r for r in knots if x is not None and r <= x), default=None)
+            high = min((r for r in knots if x is not None and r > x), default=None)
+            found += [knots.get(low), knots.get(high)]
+        out[i] = tuple(found)
+    return out
+
+
+@pytest.mark.parametrize("rows, cuts", [(50, 1000), (20, 7), (10**6, 1000)])
+def test_merged_brackets_with_hot_keys_and_hot_values(spark, monkeypatch, rows, cuts):
+    import random
+
+    monkeypatch.setattr(lookup, "BUCKET_ROWS", rows)
+    monkeypatch.setattr(lookup, "CUTS", cuts)
+    rng = random.Random(11)
+    points = [("hot", float(rng.randint(0, 300)), float(rng.randint(0, 99))) for _ in range(400)]
+    points += [(k, rng.random() * 9, rng.random()) for k in ("a", "b", None) for _ in range(20)]
+    facts = [(i, "hot", rng.choice([7.0, 7.0, rng.uniform(-20, 330), float(rng.randint(0, 300))])) for i in range(1500)]
+    facts += [(2000 + i, rng.choice(["a", "b", "none", None]), rng.choice([None, rng.random() * 10])) for i in range(200)]
+    df = spark.createDataFrame(facts, "i int, k string, x double").repartition(5)
+    table = spark.createDataFrame(points, "k string, rank double, power double")
+    sets = {"even": F.col("power") % 2 == 0, "all": F.lit(True)}
+    found = lookup.bracket_sets(df, table, "k", "x", "rank", sets, max_bytes=0)
+    got = {r["i"]: tuple(r[c] and r[c]["power"] for c in ("even_lo", "even_hi", "all_lo", "all_hi")) for r in found.collect()}
+    assert got == loop_brackets(points, facts, [lambda p: p % 2 == 0, lambda p: True])
+
+
+def test_a_hot_value_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(lookup, "BUCKET_ROWS", 100)
+    df = spark.range(4000).selectExpr("cast(id as int) as i", "'t' as k", "if(id % 4 = 0, 7.0D, id / 10) as x")
+    table = spark.range(50).selectExpr("'t' as k", "cast(id as double) as rank", "cast(id as double) as power")
+    unique = lookup.unique_points(table, "k", "rank", {"": F.lit(True)})
+    merged = lookup.merge_sets(df, unique, "k", "x", "rank", [""])
+    plan = merged._jdf.queryExecution().optimizedPlan().toString()
+    assert merged.count() == 4000 and plan.count("_row#") > 0
+    # Windows are by bucket: with forty buckets none holds the thousand equal rows.
+    physical = merged._jdf.queryExecution().executedPlan().toString()
+    assert physical.count("Window [") >= 2 and "k#" in physical
+    wide = [x for x in physical.splitlines() if "Exchange hashpartitioning(k#" in x and "_b#" in x]
+    assert len(wide) >= 1
+    assert merged.where("x = 7 and _lo.rank <> 7").count() == 0 and merged.where("x = 7 and _hi.rank = 8").count() == 1001
+
+
+def test_one_shuffle_of_the_fact_for_both_curves(spark):
+    marks = spark.range(300).selectExpr("cast(id % 7 as string) as wtg_id", "id / 20 as ntf_wind_speed_standard", "id as mark")
+    assignment = spark.range(7).selectExpr("cast(id as string) as wtg_id", "explode(array(1, 3)) as pc_type", "id % 3 as pc_id")
+    points = spark.range(3).selectExpr("id as pc_id", "explode(sequence(0, 14)) as r").selectExpr("pc_id", "cast(r as double) as wind_speed_rank", "r * (1.0D + pc_id) as power")
+    few, many = (ten_minute.assigned_power(marks, assignment, points, m) for m in (joins.MAX_BROADCAST_BYTES, 0))
+    assert few.columns == many.columns and few.exceptAll(many).count() == 0 == many.exceptAll(few).count()
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    # The marks are the only rows with this column; they pass one exchange, besides the one of the bucket counts.
+    assert len([x for x in plan.splitlines() if "Exchange hashpartitioning(_pcs" in x and "_b#" in x]) <= 2
