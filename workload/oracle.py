@@ -372,6 +372,8 @@ select wtg_id, day, count(*) as marks, max(gap) as widest_gap from (
   select wtg_id, cast(datatime - interval 1 microsecond as date) as day,
     date_diff('second', lag(datatime) over (partition by wtg_id, cast(datatime - interval 1 microsecond as date) order by datatime), datatime) as gap
   from {marks}) g group by 1, 2""",
+    "ten_minute_marks": """
+select loaded_at, wtg_id, datatime from {telemetry_10m} where extract(minute from datatime) % 10 = 0 and extract(second from datatime) = 0""",
     "unit_convert": """
 select loaded_at, wtg_id, datatime, temoutave + 273.15 as temoutave, ((nacellepositionave % 360) + 360) % 360 as nacellepositionave
 from {telemetry_10m}""",

@@ -598,6 +598,13 @@ def grouped_map(spark, sf):
     return series.grouped_map(marks, "wtg_id", "datatime", gaps, "wtg_id string, day date, marks long, widest_gap long")
 
 
+@query
+def ten_minute_marks(spark, sf):
+    """The rows that lie on a ten-minute mark."""
+    rows = view(spark, sf, "telemetry_10m").select("loaded_at", "wtg_id", "datatime")
+    return rows.where(calendar.is_ten_minute_mark(F.col("datatime")))
+
+
 # --- quality, density, energy, predicted power --------------------------------------------------
 
 
