@@ -159,7 +159,7 @@ def whole_second(ts: Column) -> Column:
     return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.day(ts), F.hour(ts), F.minute(ts), F.second(ts).cast("decimal(16,6)"))
 
 
-def state_intervals(logs: dict[str, DataFrame], roster: DataFrame, key: str = "wtg_id") -> DataFrame:
+def state_intervals(logs: dict[str, DataFrame], roster: DataFrame, key: str = "wtg_id", seconds: int | None = None) -> DataFrame:
     """State logs merged to intervals ``[start_time, end_time)`` in which no state changes.
 
     ``logs`` maps an output column to a log (key, starttime, msec, state_id). A state holds from the second of its
@@ -169,10 +169,10 @@ def state_intervals(logs: dict[str, DataFrame], roster: DataFrame, key: str = "w
 
     The logs are read once: changes are dealt by (key, day) in one exchange, which the summary of the days and the
     intervals both read; the carry from day to day runs over that summary, one row a day. The rows leave dealt by
-    (key, day) into tasks for the seconds of the roster.
+    (key, day) into tasks for the seconds of the roster, which are counted if not given.
     """
     kinds = list(logs)
-    seconds = DAY * roster.select(key, "day").distinct().count()
+    seconds = DAY * roster.select(key, "day").distinct().count() if seconds is None else seconds
     tagged = None
     for kind, log in logs.items():
         second = whole_second(F.col("starttime"))
@@ -265,14 +265,15 @@ def split_energy(df: DataFrame, cols: dict[str, str], step: int = STEP, digits:
     return df.withColumns(out)
 
 
-def spread_energy(df: DataFrame, ts: str, cols: dict[str, str], step: int = STEP, digits: int = 5) -> DataFrame:
+def spread_energy(df: DataFrame, ts: str, cols: dict[str, str], step: int = STEP, digits: int = 5, rows: int | None = None) -> DataFrame:
     """Every second of ``(mark - step, mark]`` takes the mark's row; energies are split, the rest on the mark.
 
-    Turbine-days are dealt by their marks, into tasks for the rows counted times ``step``.
+    Turbine-days are dealt by their marks, into tasks for the ``rows`` to come; these are the counted marks times
+    ``step`` if they are not known from fewer columns.
     """
     seconds = F.sequence(calendar.shift(F.col("_mark"), 1 - step), F.col("_mark"), F.expr("interval '1' second"))
     groups = [c for c in ("wtg_id", "day") if c in df.columns]
-    spread = spread_groups(df, *groups, ts, rows=df.count() * step)
+    spread = spread_groups(df, *groups, ts, rows=df.count() * step if rows is None else rows)
     marks = split_energy(spread, cols, step, digits).withColumnRenamed(ts, "_mark")
     spread = marks.withColumn(ts, F.explode(seconds))
     on_mark = F.col(ts) == F.col("_mark")

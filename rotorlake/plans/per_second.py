@@ -42,7 +42,8 @@ def production_base(calculated: DataFrame, logs: dict[str, DataFrame], roster: D
     ``roster`` names the (wtg_id, day) pairs of the 10-minute output where they are known without computing it.
     """
     roster = calculated.select("wtg_id", "day").distinct() if roster is None else roster
-    return energy_with_states(calculated, state_intervals(logs, roster), DAY * roster.count())
+    seconds = DAY * roster.count()
+    return energy_with_states(calculated, state_intervals(logs, roster, seconds=seconds), seconds)
 
 
 def energy_with_states(calculated: DataFrame, intervals: DataFrame, seconds: int | None = None) -> DataFrame:

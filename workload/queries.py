@@ -466,7 +466,8 @@ def energy_seconds(spark, sf):
     """Every second of every turbine-day, reported per hour."""
     cols = per_second.ENERGIES
     energy = _calculated(spark, sf).select("wtg_id", "day", "datatime", *cols)
-    spread = series.spread_energy(energy, "datatime", cols).withColumnRenamed("datatime", "ts")
+    seconds = series.DAY * _roster(spark, sf).count()
+    spread = series.spread_energy(energy, "datatime", cols, rows=seconds).withColumnRenamed("datatime", "ts")
     reports = []
     for k, name in enumerate(cols.values()):
         reports += [
