@@ -148,8 +148,9 @@ def spread(docs: DataFrame, part_bytes: int | None = None, min_parts: int | None
             yield flush()
 
     rows = docs.mapInArrow(deal, "part int, ids binary, sizes binary, signs binary, blob binary")
-    name = f"rotorlake_parts_{uuid.uuid4().hex}"
-    rows.repartition(count, "part").write.bucketBy(count, "part").option("compression", "none").saveAsTable(name)
+    name, path = f"rotorlake_parts_{uuid.uuid4().hex}", shared_folder(spark, "parts")
+    writer = rows.repartition(count, "part").write.bucketBy(count, "part").option("compression", "none")
+    writer.option("path", path).saveAsTable(name)
     return Parts(spark.table(name), count)
 
 

@@ -1,7 +1,8 @@
 """A worker's memory of encoded parts of texts, kept in numpy arrays.
 
 Parts are found by a 64-bit hash of their bytes. Equal parts are encoded once; the ids of a whole piece are put
-together by array operations. The memory is emptied when it holds ``max_parts``; results do not depend on it.
+together by array operations. The memory is emptied when it holds ``max_parts`` or ``max_bytes`` of ids, and parts
+longer than ``LONG_PART`` are encoded each time and never kept; results do not depend on any of it.
 """
 
 from __future__ import annotations
@@ -13,6 +14,9 @@ import numpy as np
 from rotorlake.llm import texts
 
 MAX_PARTS = 2_500_000
+MAX_BYTES = 128 << 20
+#: Longest part, in bytes, that is remembered.
+LONG_PART = 256
 
 
 def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -82,8 +86,11 @@ class Memo:
         """Ids of all parts of ``data`` side by side, and the number of ids of each part."""
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        long = ends - starts > LONG_PART
+        if long.any():
+            return self._with_long(data, starts, ends, long)
         h = texts.hashed(data, starts, ends, fold=False)
-        if self.count > self.max_parts:
+        if self.count > self.max_parts or 4 * self.used > MAX_BYTES:
             self._clear()
         number = self._find(h)
         missing = np.flatnonzero(number < 0)
@@ -96,3 +103,12 @@ class Memo:
             number[missing] = self._find(h[missing])
         sizes = self.size[number].astype(np.int64)
         return self.pool[ranges(self.at[number], sizes)], sizes
+
+    def _with_long(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, long: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.zeros(len(starts), np.int64)
+        short, sizes[~long] = self.ids(data, starts[~long], ends[~long])
+        whole, sizes[long] = self.learn([data[a:b].tobytes() for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)])
+        out, first = np.empty(int(sizes.sum()), np.uint32), np.cumsum(sizes) - sizes
+        out[ranges(first[~long], sizes[~long])] = short
+        out[ranges(first[long], sizes[long])] = whole
+        return out, sizes

@@ -14,7 +14,9 @@ repeated results; columns other than id and text play no part.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,10 @@ from rotorlake.llm import texts
 from rotorlake.llm.memo import Memo, ranges
 
 MARK = "▁"
+#: Longest word, in characters, that is merged side by side with others.
+LONG_WORD = 200
+#: Words that a worker remembers; a worker lives on in the stages after this one.
+MAX_WORDS = 700_000
 
 
 class Codec:
@@ -47,13 +53,15 @@ class Codec:
             surface[k] = bytes([value])
         surface[lib.unk_id()] = " ⁇ ".encode()
         self.surface, self.digits = surface, [str(k) for k in range(n)]
-        self.memo = Memo(self._learn)
+        self.memo = Memo(self._learn, MAX_WORDS)
         # Every way to make a piece of two pieces, as left * n + right.
         made = [(self.ids[p[:k]] * n + self.ids[p[k:]], c) for p, c in self.ids.items() for k in range(1, len(p)) if p[:k] in self.ids and p[k:] in self.ids]
         self.pairs, order = np.unique(np.array([x for x, _ in made], np.int64), return_index=True)
         self.made = np.array([c for _, c in made], np.int64)[order]
         self.cost = np.array([-lib.get_score(k) for k in range(n)])
-        self.n = n
+        self.n, self.pieces = n, pieces
+        costs, rank = np.unique(self.cost, return_inverse=True)
+        self.rank = rank.tolist()
 
     def _best(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The piece that each pair of symbols makes, and its cost; infinite if it makes none."""
@@ -108,11 +116,59 @@ class Codec:
             owner, ids = np.repeat(owner, list(map(len, fall))), np.array([x for f in fall for x in f], np.int64)
         return ids.astype(np.uint32), np.bincount(owner, minlength=len(words))
 
+    def agenda(self, word: str) -> list[int]:
+        """Ids of one long word: a heap of its adjacent pairs over linked symbols.
+
+        An entry is the rank of the new piece's score and the place of its left symbol; it is out of date if the pair
+        that now starts there makes no piece of that rank.
+        """
+        ids, pieces, rank = self.ids, self.pieces, self.rank
+        symbol = [ids.get(c, -1) for c in word]
+        n = len(symbol)
+        after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
+
+        def pair(left: int) -> int:
+            """The piece that the symbol at a place makes with the one after it, or -1."""
+            right = after[left]
+            if right >= n or symbol[left] < 0 or symbol[right] < 0:
+                return -1
+            return ids.get(pieces[symbol[left]] + pieces[symbol[right]], -1)
+
+        heap = [rank[made] << 40 | k for k in range(n) if (made := pair(k)) >= 0]
+        heapify(heap)
+        gone = bytearray(n)
+        while heap:
+            entry = heappop(heap)
+            left = entry & (1 << 40) - 1
+            if gone[left]:
+                continue
+            made = pair(left)
+            if made < 0 or rank[made] != entry >> 40:
+                continue
+            right = after[left]
+            symbol[left], gone[right], after[left] = made, 1, after[right]
+            if after[left] < n:
+                before[after[left]] = left
+            for k in (left, before[left]):
+                if k >= 0 and (new := pair(k)) >= 0:
+                    heappush(heap, rank[new] << 40 | k)
+        out = []
+        for k, c in enumerate(word):
+            if not gone[k]:
+                out += [symbol[k]] if symbol[k] >= 0 else [self.bytes[b] for b in c.encode()]
+        return out
+
     def _learn(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Merge new words, in groups of like length, and hold them against the library."""
         order = np.argsort(list(map(len, new)), kind="stable")
         words = [new[k].decode() for k in order.tolist()]
-        ids, sizes = self.merged([w.replace(" ", MARK) for w in words])
+        marked = [w.replace(" ", MARK) for w in words]
+        few = next((k for k, w in enumerate(marked) if len(w) > LONG_WORD), len(marked))
+        ids, sizes = self.merged(marked[:few])
+        # Rounds over all symbols would take the square of a long word's length. Lengths are in bytes, so that shorter
+        # words may follow a long one.
+        rest = [np.array(self.agenda(w), np.uint32) for w in marked[few:]]
+        ids, sizes = np.concatenate([ids, *rest]), np.concatenate([sizes, np.array(list(map(len, rest)), np.int64)])
         ends = np.cumsum(sizes)
         # Words that end with a blank or mark would run into the next; the library sees each of them alone.
         alone = [k for k, w in enumerate(words) if w[-1] in (" ", MARK)]

@@ -6,20 +6,30 @@ functions are pure and work on UTF-8 bytes, so they give the same result whereve
 
 from __future__ import annotations
 
+import ctypes
+import os
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 PIECE_BYTES = 1 << 20
 SLICE_BYTES = 4 << 20
 
+# The C library keeps freed memory for itself unless it is asked; other systems have no such call.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
+
 _rng = np.random.default_rng(20240607)
 _BYTE_CODES = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_prime_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+PRIME = np.uint64((1 << 31) - 1)
+#: Longest word that is hashed by sums of powers.
+LONG_BYTES = 512
 
 
 def _byte_class(separators: bytes) -> np.ndarray:
@@ -65,6 +75,18 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def prime_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same modulo a prime."""
+    if len(_prime_powers[0]) < n:
+        p = int(PRIME)
+        for k, base in enumerate((_BASE % p, pow(_BASE, -1, p))):
+            held = np.ones(1, np.uint64)
+            while len(held) < n:  # as many again, times the next power
+                held = np.concatenate([held, held * np.uint64(pow(base, len(held), p)) % PRIME])
+            _prime_powers[k] = held
+    return _prime_powers[0], _prime_powers[1]
+
+
 def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Offsets and bytes of a text column; a null is an empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -92,9 +114,15 @@ def pieces(
             end = min(end, batch.num_rows)
             yield batch.slice(at, end - at), bounds[at : end + 1] - bounds[at], data[bounds[at] : bounds[end]]
             at = end
-        # A worker lives on after its task; what Arrow has freed goes back to the system.
         del batch, bounds, data
-        pa.default_memory_pool().release_unused()
+        release()
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def _cuts(data: np.ndarray, table: np.ndarray, max_bytes: int) -> Iterator[tuple[int, int]]:
@@ -129,12 +157,37 @@ def words(bounds: np.ndarray, data: np.ndarray, table: np.ndarray) -> tuple[np.n
 
 
 def hashed(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
-    """A 64-bit hash of each word's bytes, A-Z lower-cased if ``fold``; a word has the same hash everywhere."""
+    """A 64-bit hash of each word's bytes, A-Z lower-cased if ``fold``; a word has the same hash everywhere.
+
+    Sums of powers are fast but have pairs of long words with one sum, which are easy to write; words beyond
+    ``LONG_BYTES`` therefore get a hash without such structure.
+    """
     up, down = powers(len(data) + 1)
     total = np.empty(len(data) + 1, np.uint64)
     total[0] = 0
     np.cumsum((_FOLDED_CODES if fold else _BYTE_CODES)[data] * up[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    out = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    for k in np.flatnonzero(ends - starts > LONG_BYTES).tolist():
+        own = data[starts[k] : ends[k]]
+        out[k] = xxhash.xxh3_64_intdigest((lower(own) if fold else own).tobytes())
+    return out
+
+
+class Sequences:
+    """Hashes of runs of a sequence of 64-bit hashes: sums of powers by two moduli, one of them prime."""
+
+    def __init__(self, h: np.ndarray) -> None:
+        up, self.down = powers(len(h) + 1)
+        start = np.zeros(1, np.uint64)
+        self.total = np.concatenate([start, np.cumsum(h * up[: len(h)], dtype=np.uint64)])
+        up, self.prime_down = prime_powers(len(h) + 1)
+        self.prime_total = np.concatenate([start, np.cumsum(mix(h) % PRIME * up[: len(h)] % PRIME, dtype=np.uint64)])
+
+    def between(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """The hash of each run from ``first`` up to ``last``; equal runs have equal hashes wherever they are."""
+        whole = mix((self.total[last] - self.total[first]) * self.down[first] + (last - first).astype(np.uint64))
+        prime = (self.prime_total[last] - self.prime_total[first]) % PRIME * self.prime_down[first] % PRIME
+        return mix(whole ^ prime * np.uint64(0xC2B2AE3D27D4EB4F))
 
 
 def word_hashes(bounds: np.ndarray, data: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, ...]:
