@@ -11,7 +11,9 @@ results; texts are scanned whole; columns other than id and text play no part.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -160,13 +162,19 @@ class Scanner:
         """Detections that stay, by place; ``text`` is lower-cased."""
         tried = sorted((x for gate, own in self.by_gate.items() if gate in text for x in own), key=lambda x: x[0])
         kept: list[tuple[int, int, Rule]] = []
-        for _, rule in tried:
-            for m in rule.pattern.finditer(text):
-                s, e = m.span()
-                if rule.base or not any(a <= s and e <= b and x.priority >= rule.priority for a, b, x in kept):
-                    # What was found before is of the same or a higher priority.
-                    kept = [x for x in kept if x[2].base or x[2].priority > rule.priority or not (s <= x[0] and x[1] <= e)]
+        for _, level in groupby(tried, lambda x: x[1].priority):
+            found = [(*m.span(), k, rule) for k, rule in level for m in rule.pattern.finditer(text)]
+            # What holds a detection starts no later, so in this order it comes before it.
+            found.sort(key=lambda x: (x[0], -x[1], not x[3].base, x[2]))
+            kept.sort(key=lambda x: x[0])
+            starts = [x[0] for x in kept]
+            reach = list(accumulate((x[1] for x in kept), max))
+            most = -1
+            for s, e, _, rule in found:
+                at = bisect_right(starts, s)
+                if rule.base or (most < e and (not at or reach[at - 1] < e)):
                     kept.append((s, e, rule))
+                most = max(most, e)
         return sorted(kept, key=lambda x: (x[0], -x[1], -x[2].priority, x[2].label))
 
 

@@ -62,8 +62,7 @@ def units(bounds: np.ndarray, data: np.ndarray, whole: bool = False) -> list[Uni
     if n:
         cut[1:n] |= _END[data[:-1]] & _SPACE[data[1:]]
     _, starts, ends, h = texts.word_hashes(bounds, data, texts.ALNUM)
-    up, down = texts.powers(len(h) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[: len(h)], dtype=np.uint64)])
+    runs = texts.Sequences(h)
     size = np.concatenate([np.zeros(1, np.int64), np.cumsum(ends - starts)])
 
     def between(edge: np.ndarray) -> Units:
@@ -71,7 +70,7 @@ def units(bounds: np.ndarray, data: np.ndarray, whole: bool = False) -> list[Uni
         row = np.searchsorted(bounds, first, "right") - 1
         a, b = np.searchsorted(starts, first), np.searchsorted(starts, last)
         count = b - a
-        digest = texts.mix((total[b] - total[a]) * down[a] + count.astype(np.uint64))
+        digest = runs.between(a, b)
         return Units(row, first, last, a, count, size[b] - size[a], digest)
 
     made = [between(np.flatnonzero(cut))]

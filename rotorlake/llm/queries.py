@@ -230,7 +230,58 @@ select w.conv_id, w.d as depth, u.conv_id as parent_conv_id, w.n_convs, w.n_chil
 from whole w join sums s on w.p = s.p left join whole u on u.d = w.d - 1 and list_slice(w.p, 1, w.d - 1) = u.p
 """
 
+#: Two documents with an n-gram in common meet by it; links are closed by walking them.
+JACCARD_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w
+  from (select doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text from documents)
+), s as materialized (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct([array_to_string(list_slice(w, i, i + 4), ' ') for i in range(1, len(w) - 3)]) end as s
+  from w
+), g as materialized (
+  select doc_id, len(s) as n, unnest(s) as g from s
+), links as materialized (
+  select a.doc_id as a, b.doc_id as b from g a join g b on a.g = b.g and a.doc_id <> b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach as (
+  select doc_id as a, doc_id as b from documents
+  union
+  select r.a, l.b from reach r join links l on r.b = l.a
+)
+select doc_id, cast(len(s) as bigint) as n_shingles, least(doc_id, min(b)) as component_id from s join reach on doc_id = a group by doc_id, s
+"""
+
+#: Windows of the items, of ten words or of a whole shorter item, met by all windows of these lengths of the documents.
+WINDOWS_SQL = r"""
+with t as (
+  select 'doc' as kind, doc_id as id, text from documents union all select 'item', item_id, text from benchmark
+), w as materialized (
+  select kind, id, regexp_extract_all(coalesce(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from t
+), item as materialized (
+  select distinct id, k, array_to_string(list_slice(w, i, i + k - 1), ' ') as s
+  from (select id, w, least(10, len(w)) as k, unnest(range(1, greatest(len(w) - 8, 2))) as i from w where kind = 'item' and len(w) > 0)
+), hit as materialized (
+  select d.id, d.i, d.k, item.id as item_id
+  from (select id, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') as s
+        from (select id, w, k, unnest(range(1, greatest(len(w) - k + 2, 1))) as i from w, (select distinct k from item) where kind = 'doc')) d
+  join item on d.s = item.s and d.k = item.k
+), words as (
+  select id, count(*) as n from (select distinct id, unnest(range(i, i + k)) as place from hit) group by id
+), items as (
+  select id, count(*) as n, string_agg(name, ',' order by name) as names
+  from (select distinct id, item_id::varchar as name from hit) group by id
+)
+select w.id as doc_id, cast(len(w.w) as bigint) as n_words, coalesce(words.n, 0) as n_hit, coalesce(items.n, 0) as n_items,
+  sha256(coalesce(items.names, '')) as items_sha256, coalesce(words.n, 0) > 0 as contaminated
+from w left join words on w.id = words.id left join items on w.id = items.id where w.kind = 'doc'
+"""
+
 SQL: dict[str, str] = {
+    "op2_jaccard_join": JACCARD_SQL,
+    "op4_decontaminate": WINDOWS_SQL,
     "op3_topk_search": TOPK_SQL,
     "op11_vector_codes": _codes_sql(),
     "op12_conversation_trie": TRIE_SQL,

@@ -63,11 +63,8 @@ def prefix(n):
 def sign(bounds: np.ndarray, data: np.ndarray) -> np.ndarray:
     """A hash of each text's words in order; 0 stands for no words. Texts with equal hashes have equal sets."""
     row, _, _, h = texts.word_hashes(bounds, data, texts.SPACED)
-    up, down = texts.powers(len(h) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * up[: len(h)], dtype=np.uint64)])
     at = np.searchsorted(row, np.arange(len(bounds)))
-    count = np.diff(at).astype(np.uint64)
-    return np.where(count > 0, texts.mix((total[at[1:]] - total[at[:-1]]) * down[at[:-1]] + count) | np.uint64(1), np.uint64(0))
+    return np.where(np.diff(at) > 0, texts.Sequences(h).between(at[:-1], at[1:]) | np.uint64(1), np.uint64(0))
 
 
 def sets(bounds: np.ndarray, data: np.ndarray, words: int, wanted: np.ndarray) -> dict[int, np.ndarray]:

@@ -10,7 +10,8 @@ Texts are encoded by the tokenizers library. Its byte-level vocabularies cut tex
 some of the places where that is certain, and equal parts are encoded once per worker.
 
 Defined results: a null or empty text has the end id only; rows with equal ids follow each other, ordered by a hash of
-the text; null ids come first; an empty table makes no blocks; columns other than id and text play no part.
+the text; null ids come first; ids of other types are in Spark's order of that type; an empty table makes no blocks;
+columns other than id and text play no part.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ from rotorlake.llm.memo import Memo
 from rotorlake.operators.joins import lookup_join
 
 BLOCK_IDS = 1 << 16
-SHARD_DOCS = 4096
+SHARD_DOCS = 16_384
 #: A word without white space or characters of which some are white space.
 _PLAIN = re.compile(rb" [\x21-\x7e\x80-\xc1\xc3-\xe0\xe4-\xff]+")
 
@@ -150,24 +152,10 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _dealt(docs: DataFrame, shard_docs: int) -> tuple[DataFrame, int]:
-    """Documents in partitions by ascending ranges of the id; ``shard`` is the partition's number."""
-    n = max(1, -(-docs.count() // shard_docs))
-    numeric = docs.select(F.col("doc_id").cast("double").alias("x"))
-    cuts = sorted(set(numeric.approxQuantile("x", [k / n for k in range(1, n)], 0.25 / n))) if n > 1 else []
-    if not cuts:
-        return docs.withColumn("shard", F.lit(0)).repartitionById(1, F.col("shard")), 1
-    # Number of cuts below the id, by halving: no comparison with each cut.
-    shard = F.lit(0)
-    step = 1 << (len(cuts).bit_length() - 1)
-    held = F.array(*[F.lit(c) for c in cuts])
-    value = F.col("doc_id").cast("double")
-    while step:
-        probe = shard + F.lit(step)
-        shard = F.when((probe <= len(cuts)) & (F.try_element_at(held, probe) < value), probe).otherwise(shard)
-        docs = docs.withColumn("_at", shard.cast("int"))
-        shard, step = F.col("_at"), step // 2
-    return docs.withColumn("shard", F.coalesce("_at", F.lit(0))).drop("_at").repartitionById(len(cuts) + 1, F.col("shard")), len(cuts) + 1
+def _dealt(docs: DataFrame, shard_docs: int) -> DataFrame:
+    """Documents in partitions by ascending ranges of the id, and of the text's hash where ids are equal."""
+    order = ["doc_id", F.xxhash64("text")]
+    return docs.repartitionByRange(max(1, -(-docs.count() // shard_docs)), *order).sortWithinPartitions(*order)
 
 
 def write(
@@ -181,14 +169,14 @@ def write(
     shard_docs: int = SHARD_DOCS,
 ) -> None:
     """Encode and write all documents, each followed by the end id."""
-    rows, _ = _dealt(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), shard_docs)
-    rows = rows.sortWithinPartitions("doc_id", F.xxhash64("text"))
+    rows = _dealt(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), shard_docs)
     schema = BLOCKS.format(id=rows.schema["doc_id"].dataType.simpleString())
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(tokenizer)
         bits = width(max(code.vocabulary, end_id + 1))
-        shard, block, first, held, sizes, names = 0, 0, 0, [], [], []
+        # Ranges ascend with the partition's number.
+        shard, block, first, held, sizes, names = TaskContext.get().partitionId(), 0, 0, [], [], []
         kind = None
 
         def flush() -> pa.RecordBatch:
@@ -207,7 +195,6 @@ def write(
         total = 0
         for batch, bounds, data in texts.pieces(batches, "text"):
             kind = batch.column("doc_id").type
-            shard = batch.column("shard")[0].as_py()
             ids, counts = code.encode(bounds, data)
             ends = np.cumsum(counts)
             ids = np.insert(ids, ends, np.uint32(end_id))

@@ -34,7 +34,8 @@ FEATURES = 3_000
 MIN_SHARE, DEVIATIONS, LIFT = 0.002, 6.0, 3.0
 PREFIXES = (3, 4, 5, 6)
 THRESHOLD = 0.3
-#: Labelled rows may be chosen for being toxic; a text without any evidence stays below the threshold all the same.
+#: Greatest prior that is taken from the labels: labelled rows may be chosen for being toxic, and a text without any
+#: evidence stays below the threshold all the same. A prior that is given is used as it is.
 MAX_PRIOR = 0.25
 STEPS, RATE, DECAY, GAMMA = 400, 0.05, 1e-4, 1.0
 
@@ -129,7 +130,7 @@ def train(docs: DataFrame, labels: DataFrame, training: Callable[[Column], Colum
     spark = docs.sparkSession
     known = labels.select(F.col("doc_id").alias("id"), F.col("toxic").alias("toxic")).where(training(F.col("id")) & F.col("toxic").isNotNull())
     share = known.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0] or 0.0
-    prior = min(max(share if prior is None else prior, 1e-4), MAX_PRIOR)
+    prior = min(max(share, 1e-4), MAX_PRIOR) if prior is None else min(max(prior, 1e-4), 1 - 1e-4)
     by_hash = lambda df, n: df.distinct().orderBy(F.xxhash64("id"), "id").limit(n)
     toxic = by_hash(known.where("toxic = 1").select("id"), MAX_POSITIVE).withColumn("positive", F.lit(True))
     others = docs.select(F.col(doc_id).alias("id")).where(training(F.col("id")) & F.col("id").isNotNull())
@@ -138,7 +139,9 @@ def train(docs: DataFrame, labels: DataFrame, training: Callable[[Column], Colum
     chosen = toxic.union(others)
     path = shared_folder(spark, "toxic-sample")
     source = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    source.join(F.broadcast(chosen), "id").select("positive", "text").write.parquet(path)
+    # One text of each id, the least, however often it occurs.
+    taken = source.join(F.broadcast(chosen), "id").groupBy("id", "positive").agg(F.min("text").alias("text"))
+    taken.select("positive", "text").write.parquet(path)
     sample = spark.read.schema("positive boolean, text string").parquet(path)
     keys, n = _sums(sample.where("positive"), None)
     counts = {r["positive"]: r["count"] for r in sample.groupBy("positive").count().collect()}

@@ -52,7 +52,7 @@ def test_pipeline_equals_its_operators(spark, sf_dir):
     one = [(r.doc_id, r.text) for r in docs.collect() if r.doc_id not in bad]
     first = {r.doc_id for r in shingles.classes(samples.docs(spark, one)).where("doc_id = component_id").collect()}
     two = [x for x in one if x[0] in first]
-    three = [(r.doc_id, r.kept) for r in lines.dedup(samples.docs(spark, two)).collect()]
+    three = [(r.doc_id, r.kept) for r in lines.dedup(samples.docs(spark, two), whole=True).collect()]
     three = [x for x in three if x[1].strip() or not dict(two)[x[0]].strip()]
     four = decontaminate.clean(samples.docs(spark, three), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     lib = piece_codec.codec(public_tokenizers.path("piece_bpe_32k.model")).library
