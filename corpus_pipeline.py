@@ -44,9 +44,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines and sentences that an earlier document or place holds."""
+    """Texts without paragraphs, lines and sentences that an earlier document or place holds."""
     _lean(spark)
-    return _counted(lines.clean(docs))
+    return _counted(lines.clean(docs, whole=True))
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
