@@ -8,8 +8,9 @@ Piece probabilities come from all training rows: each task counts distinct words
 each piece at each place where it occurs in it. Counts are summed by Spark; what reaches the driver is one number for
 each language and piece of the fixed vocabulary.
 
-Words start with a blank that stands for the vocabulary's word mark and are cut after ``WORD`` bytes. Defined results:
-a null text or one without a letter is ``und`` with score 0, and so is every text if there is nothing to learn from;
+Words start with a blank that stands for the vocabulary's word mark. A word of more than ``WORD`` bytes is cut wherever
+no piece that occurs in it reaches over: there every segmentation has a border, so the sum over all of them is the product
+of the sums over the parts, whatever the word's length. Sums are scaled up as they go. Defined results: a null text or one without a letter is ``und`` with score 0, and so is every text if there is nothing to learn from;
 equal scores go to the language first in order; a language is any non-null value of ``lang`` in the training rows.
 """
 
@@ -27,8 +28,12 @@ from rotorlake.llm import texts
 from rotorlake.llm.memo import Memo, ranges
 
 MARK = "▁"
-#: Longest word, in bytes; sums over segmentations stay within floating point.
+#: Words up to so many bytes are taken whole.
 WORD = 32
+#: Longest part of a word that is summed side by side with others of its length.
+PART = 256
+#: Steps after which sums are scaled.
+SCALED = 8
 #: Probability of a byte that no piece covers, and what is added to each count.
 FLOOR, SMOOTH = 1e-7, 0.05
 UNKNOWN = "und"
@@ -45,7 +50,6 @@ class Vocabulary:
         lib = sentencepiece.SentencePieceProcessor(model_file=path)
         usable = (k for k in range(lib.get_piece_size()) if not (lib.is_control(k) or lib.is_unknown(k) or lib.is_byte(k) or lib.is_unused(k)))
         names = sorted({x.replace(MARK, " ").encode() for k in usable if MARK not in (x := lib.id_to_piece(k))[1:]} - {b" "})
-        names = [x for x in names if len(x) <= WORD]
         sizes = np.array(list(map(len, names)))
         ends = np.cumsum(sizes)
         flat = np.frombuffer(b"".join(names), np.uint8)
@@ -66,8 +70,26 @@ class Vocabulary:
         return hit // len(at), first[which], (last - first)[which], piece[hit]
 
 
-def chunks(bounds: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, bytes, starts and ends of words with a blank in front, cut after ``WORD`` bytes."""
+    def hits(self, flat: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each width the places in ``flat`` where a piece of that width stands, and the pieces."""
+        for width in range(1, min(self.longest, len(flat)) + 1):
+            at = np.arange(len(flat) - width + 1)
+            piece = self.index._find(texts.hashed(flat, at, at + width, fold=False))
+            found = np.flatnonzero(piece >= 0)
+            yield width, at[found], piece[found]
+
+    def borders(self, word: np.ndarray) -> np.ndarray:
+        """The places in a word that no piece in it reaches over, its start among them."""
+        over = np.zeros(len(word) + 1, np.int64)
+        for width, at, _ in self.hits(word):
+            if width > 1:
+                np.add.at(over, at + 1, 1)
+                np.add.at(over, at + width, -1)
+        return np.flatnonzero(np.cumsum(over)[:-1] == 0)
+
+
+def chunks(vocabulary: Vocabulary, bounds: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, bytes, starts and ends of words with a blank in front, long ones cut at their borders."""
     first, last = texts.words(bounds, data, texts.SPACED)
     row = np.searchsorted(bounds, first, "right") - 1
     sizes = last - first + 1
@@ -76,11 +98,15 @@ def chunks(bounds: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray
     starts = ends - sizes
     if len(first):
         flat[starts] = 0x20
-    times = -(-sizes // WORD)
-    if len(first) and times.max() > 1:
-        starts = np.repeat(starts, times) + (ranges(np.zeros(len(times), np.int64), times) * WORD)
-        ends = np.minimum(starts + WORD, np.repeat(ends, times))
-        row = np.repeat(row, times)
+    long_ = np.flatnonzero(sizes > WORD)
+    if len(long_):
+        cuts = [starts[k] + vocabulary.borders(flat[starts[k] : ends[k]])[1:] for k in long_.tolist()]
+        added = np.concatenate(cuts)
+        row = np.concatenate([row, np.repeat(row[long_], list(map(len, cuts)))])
+        starts = np.concatenate([starts, added])
+        order = np.argsort(starts, kind="stable")
+        row, starts = row[order], starts[order]
+        ends = np.append(starts[1:], len(flat))
     return row, flat, starts, ends
 
 
@@ -89,8 +115,9 @@ def _by_size(words: list[bytes], at_most: int = 4096) -> Iterator[tuple[np.ndarr
     sizes = np.array(list(map(len, words)))
     for size in np.unique(sizes).tolist():
         own = np.flatnonzero(sizes == size)
-        for k in range(0, len(own), at_most):
-            some = own[k : k + at_most]
+        step = 1 if size > PART else max(1, at_most * WORD // max(WORD, size))
+        for k in range(0, len(own), step):
+            some = own[k : k + step]
             yield some, np.frombuffer(b"".join(words[x] for x in some.tolist()), np.uint8).reshape(-1, size)
 
 
@@ -102,7 +129,7 @@ class Counter:
         self.total: dict[str, np.ndarray] = {}
 
     def add(self, names: list[str], bounds: np.ndarray, data: np.ndarray) -> None:
-        row, flat, starts, ends = chunks(bounds, data)
+        row, flat, starts, ends = chunks(self.vocabulary, bounds, data)
         if not len(row):
             return
         h = texts.hashed(flat, starts, ends, fold=False)
@@ -113,12 +140,16 @@ class Counter:
         raw = flat.tobytes()
         words = [raw[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist(), strict=True)]
         for some, matrix in _by_size(words):
-            word, _, _, piece = self.vocabulary.cuts(matrix)
+            if matrix.shape[1] > PART:
+                found = [(np.zeros(len(p), np.int64), p) for _, _, p in self.vocabulary.hits(matrix[0])]
+            else:
+                word, _, _, piece = self.vocabulary.cuts(matrix)
+                found = [(word, piece)]
             for k, name in enumerate(kinds):
-                weight = seen[k][some][word]
                 if name not in self.total:
                     self.total[name] = np.zeros(self.vocabulary.size)
-                self.total[name] += np.bincount(piece, weight, self.vocabulary.size)
+                for word, piece in found:
+                    self.total[name] += np.bincount(piece, seen[k][some][word], self.vocabulary.size)
 
 
 class Model:
@@ -134,8 +165,11 @@ class Model:
     def forward(self, matrix: np.ndarray) -> np.ndarray:
         """Log of the sum over all segmentations, for words of equal length."""
         n, size = matrix.shape
+        if size > PART:
+            return np.stack([self.forward_long(word) for word in matrix])
         reach = np.zeros((size + 1, n, len(self.languages)))
         reach[0] = 1.0
+        scale = np.zeros((n, len(self.languages)))
         word, place, width, piece = self.vocabulary.cuts(matrix)
         end = place + width
         # Pieces by where they end, then by length: a word has one piece at most of each, so sums do not collide.
@@ -150,7 +184,38 @@ class Model:
                 a, b = at[k], at[k + 1]
                 if b > a:
                     reach[j][word[a:b]] += reach[j - w][word[a:b]] * self.chance[piece[a:b]]
-        return np.log(reach[size])
+            if j % SCALED == 0:
+                top = reach[j].copy()
+                reach[max(0, j - self.vocabulary.longest) : j + 1] /= top
+                scale += np.log(top)
+        return np.log(reach[size]) + scale
+
+    def forward_long(self, word: np.ndarray) -> np.ndarray:
+        """The same for one word of any length, with the last sums only."""
+        size, wide = len(word), self.vocabulary.longest
+        places, widths, pieces = [], [], []
+        for width, at, piece in self.vocabulary.hits(word):
+            places.append(at + width)
+            widths.append(np.full(len(at), width))
+            pieces.append(piece)
+        end, width, piece = (np.concatenate(x) for x in (places, widths, pieces))
+        order = np.argsort(end, kind="stable")
+        width, piece = width[order], piece[order]
+        at = np.searchsorted(end[order], np.arange(size + 2)).tolist()
+        # Sums to the last places, the sum to place j in row j modulo their number.
+        ring = np.zeros((wide + 1, len(self.languages)))
+        ring[0] = 1.0
+        scale = np.zeros(len(self.languages))
+        for j in range(1, size + 1):
+            a, b = at[j], at[j + 1]
+            total = ring[(j - 1) % (wide + 1)] * FLOOR
+            if b > a:
+                total = total + (ring[(j - width[a:b]) % (wide + 1)] * self.chance[piece[a:b]]).sum(0)
+            ring[j % (wide + 1)] = total
+            if j % SCALED == 0:
+                ring /= total
+                scale += np.log(total)
+        return np.log(ring[size % (wide + 1)]) + scale
 
     def _learn(self, new: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         out = np.empty((len(new), len(self.languages)), np.float32)
@@ -160,7 +225,7 @@ class Model:
 
     def predict(self, values: list[str | None], bounds: np.ndarray, data: np.ndarray) -> tuple[list[str], np.ndarray]:
         """Language and score of each text of a piece."""
-        row, flat, starts, ends = chunks(bounds, data)
+        row, flat, starts, ends = chunks(self.vocabulary, bounds, data)
         got, _ = self.memo.ids(flat, starts, ends)
         each = got.view(np.float32).reshape(-1, len(self.languages)).astype(np.float64)
         n = len(bounds) - 1
