@@ -14,6 +14,7 @@ other than the id and the text play no part, whatever their names.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,72 +29,94 @@ MAX_ITEM_WORDS = 1_000_000
 
 
 class Automaton:
-    """Suffix automaton of several word sequences, with the items of each window."""
+    """Suffix automaton of several word sequences, with the items of each window.
+
+    Nearly all states have one way on, which is held in arrays; only states with several have a table of the others.
+    """
 
     def __init__(self, items: list[tuple[str, list[int]]], window: int) -> None:
         self.window = window
-        self.next: list[dict[int, int]] = [{}]
-        self.link, self.length = [-1], [0]
-        sequences = [(name, words) for name, words in items if words]
-        for _, words in sequences:
+        #: By state: the word of its first way on and where that leads, the suffix link, the longest sequence.
+        self.word, self.to, self.link, self.length = (array("i", [-1]) for _ in range(4))
+        self.length[0] = 0
+        self.more: dict[int, dict[int, int]] = {}
+        self.names = [name for name, words in items if words]
+        sequences = [words for _, words in items if words]
+        for words in sequences:
             last = 0
             for w in words:
                 last = self._extend(last, w)
-        #: By state: the items that hold the state's window (a state stands for one window at most).
-        self.items: dict[int, set[str]] = {}
-        #: By state: length and items of short items that end there.
-        self.short: dict[int, list[tuple[int, str]]] = {}
-        for name, words in sequences:
+        held = array("q")
+        #: By state: length and number of short items that end there.
+        self.short: dict[int, list[tuple[int, int]]] = {}
+        for number, words in enumerate(sequences):
             state = length = 0
             for k, w in enumerate(words):
                 state, length = self.step(state, length, w)
                 if k + 1 >= window:
-                    self.items.setdefault(self.window_state(state), set()).add(name)
+                    held.append(self.window_state(state) << 32 | number)
             if len(words) < window:
                 while self.length[self.link[state]] >= len(words):
                     state = self.link[state]
-                self.short.setdefault(state, []).append((len(words), name))
+                self.short.setdefault(state, []).append((len(words), number))
+        # The items that hold the window of a state (which stands for one window at most), side by side.
+        pairs = np.unique(np.frombuffer(held, np.int64)) if held else np.zeros(0, np.int64)
+        self.item_states, self.item_numbers = (pairs >> 32).astype(np.int32), (pairs & 0xFFFFFFFF).astype(np.int32)
+
+    def _on(self, state: int, w: int) -> int:
+        """Where a word leads from a state, or -1."""
+        if self.word[state] == w:
+            return self.to[state]
+        others = self.more.get(state)
+        return -1 if others is None else others.get(w, -1)
+
+    def _lead(self, state: int, w: int, target: int) -> None:
+        if self.word[state] in (-1, w):
+            self.word[state], self.to[state] = w, target
+        else:
+            self.more.setdefault(state, {})[w] = target
+
+    def _state(self, word: int, to: int, link: int, length: int) -> int:
+        for column, x in ((self.word, word), (self.to, to), (self.link, link), (self.length, length)):
+            column.append(x)
+        return len(self.word) - 1
 
     def _extend(self, last: int, w: int) -> int:
-        nxt, link, length = self.next, self.link, self.length
-        if w in nxt[last]:
-            q = nxt[last][w]
-            if length[q] == length[last] + 1:
-                return q
-            return self._clone(last, w, q)
-        new = len(nxt)
-        nxt.append({})
-        link.append(0)
-        length.append(length[last] + 1)
+        q = self._on(last, w)
+        if q >= 0:
+            return q if self.length[q] == self.length[last] + 1 else self._clone(last, w, q)
+        new = self._state(-1, -1, 0, self.length[last] + 1)
         p = last
-        while p >= 0 and w not in nxt[p]:
-            nxt[p][w] = new
-            p = link[p]
+        while p >= 0 and self._on(p, w) < 0:
+            self._lead(p, w, new)
+            p = self.link[p]
         if p >= 0:
-            q = nxt[p][w]
-            link[new] = q if length[q] == length[p] + 1 else self._clone(p, w, q)
+            q = self._on(p, w)
+            self.link[new] = q if self.length[q] == self.length[p] + 1 else self._clone(p, w, q)
         return new
 
     def _clone(self, p: int, w: int, q: int) -> int:
-        nxt, link, length = self.next, self.link, self.length
-        copy = len(nxt)
-        nxt.append(dict(nxt[q]))
-        link.append(link[q])
-        length.append(length[p] + 1)
-        while p >= 0 and nxt[p].get(w) == q:
-            nxt[p][w] = copy
-            p = link[p]
-        link[q] = copy
+        copy = self._state(self.word[q], self.to[q], self.link[q], self.length[p] + 1)
+        if q in self.more:
+            self.more[copy] = dict(self.more[q])
+        while p >= 0 and self._on(p, w) == q:
+            self._lead(p, w, copy)
+            p = self.link[p]
+        self.link[q] = copy
         return copy
 
     def step(self, state: int, length: int, w: int) -> tuple[int, int]:
         """State and longest matching length after one more word."""
-        while w not in self.next[state]:
+        word, more = self.word, self.more
+        while True:
+            if word[state] == w:
+                return self.to[state], length + 1
+            if state in more and w in more[state]:
+                return more[state][w], length + 1
             state = self.link[state]
             if state < 0:
                 return 0, 0
             length = self.length[state]
-        return self.next[state][w], length + 1
 
     def window_state(self, state: int) -> int:
         """The state of the window that ends here; the length must reach the window."""
@@ -104,21 +127,29 @@ class Automaton:
     def scan(self, words: list[int], hit: np.ndarray, at: int, found: set[str]) -> int:
         """Stream words, mark ``hit`` from place ``at`` on and collect items; the longest match is returned."""
         state = length = longest = 0
+        windows, short = set(), set()
         for k, w in enumerate(words, at):
             state, length = self.step(state, length, w)
             longest = max(longest, length)
             if length >= self.window:
                 hit[k - self.window + 1 : k + 1] = True
-                found |= self.items[self.window_state(state)]
+                windows.add(self.window_state(state))
             if self.short:
                 s, left = state, length
                 while s > 0:
-                    for n, name in self.short.get(s, ()):
+                    for n, number in self.short.get(s, ()):
                         if n <= left:
                             hit[k - n + 1 : k + 1] = True
-                            found.add(name)
+                            short.add(number)
                     s = self.link[s]
                     left = self.length[s]
+        # Items are named once for each window that occurs, not for each place.
+        if windows:
+            states = np.array(sorted(windows))
+            ends = (np.searchsorted(self.item_states, states, side) for side in ("left", "right"))
+            for a, b in zip(*(x.tolist() for x in ends), strict=True):
+                short.update(self.item_numbers[a:b].tolist())
+        found.update(self.names[number] for number in short)
         return longest
 
 
