@@ -170,7 +170,11 @@ def _whole(name: str, digits: int) -> str:
     return f"cast({name} as bigint)" if digits == 0 else f"cast(round_even(({value}) * {10**digits}, 0) as bigint)"
 
 
-_ROW_CODE = " + ".join(f"{k} * coalesce({_whole(c, n)} % 1000003, 999979)" for k, (c, n) in enumerate(_DIGITS, 1))
+_ROW_CODES = [f"{k} * coalesce({_whole(c, n)} % 1000003, 999979)" for k, (c, n) in enumerate(_DIGITS, 1)]
+_ROW_DIGESTS = ",".join(
+    f"\n  cast(sum(({' + '.join(_ROW_CODES[at : at + 6])}) % 1000003 * (coalesce(c.sod, s.sod) % 97 + 1)) as bigint) as row_digest_{at}"
+    for at in range(0, len(_ROW_CODES), 6)
+)
 
 
 def _e5(name: str) -> str:
@@ -357,7 +361,7 @@ select coalesce(c.wtg_id, s.wtg_id) as wtg_id, coalesce(c.day, s.day) as day, nc
   cast(sum(cast(round(temoutave - 273.15) as bigint)) as bigint) as temperature_sum,
   cast(sum({_e5('p0')}) as bigint) as production_per_second_e5, cast(sum({_e5('p1')}) as bigint) as theory_production_per_second_e5,
   cast(sum({_e5('p2')}) as bigint) as actual_production_per_second_e5,
-  cast(sum(({_ROW_CODE}) % 1000003 * (coalesce(c.sod, s.sod) % 97 + 1)) as bigint) as row_digest
+{_ROW_DIGESTS.lstrip()}
 from {{calc_all}} c full outer join {{states}} s on s.wtg_id = c.wtg_id and s.ts = c.ts group by 1, 2, 3, 4, 5""",
     "avg_10m": """
 select time_bucket(interval '10 minutes', data_time) as data_time, round(avg(read_wind_speed), 6) as read_wind_speed,
