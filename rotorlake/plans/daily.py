@@ -44,7 +44,7 @@ def run_states(stages: Stages, logs: dict[str, DataFrame], days: Column | None =
     return stages.write(state_intervals(logs, roster), "states", "start_time")
 
 
-def production(stages: Stages, spark: SparkSession, days: Column | None = None) -> DataFrame:
-    """The per-second production base, merged bucket by bucket from the two stages."""
+def production(stages: Stages, spark: SparkSession, days: Column | None = None, **options) -> DataFrame:
+    """The per-second production base, merged bucket by bucket from the two stages; options of ``energy_with_states``."""
     calculated, states = (stages.read(spark, name, days) for name in ("calculated", "states"))
-    return per_second.energy_with_states(calculated, states)
+    return per_second.energy_with_states(calculated, states, **options)

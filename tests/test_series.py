@@ -131,6 +131,25 @@ def test_production_base_is_the_outer_join(spark):
     assert total == pytest.approx(sum(m[4] for m in marks if m[0] == "d" and m[4] is not None))
 
 
+def test_seconds_of_the_day_are_counted(spark):
+    rows = [("a", DAY.date(), DAY + SECOND, DAY + 601 * SECOND), ("a", DAY.date(), DAY + 86399 * SECOND, DAY + 86401 * SECOND), ("b", None, DAY, DAY + SECOND)]
+    intervals = spark.createDataFrame(rows, "wtg_id string, day date, start_time timestamp_ntz, end_time timestamp_ntz")
+    found = series.expand_seconds(intervals, second="second")
+    assert found.columns == ["wtg_id", "day", "ts", "second"]
+    assert sorted((r.ts - DAY) // SECOND for r in found.where("day is not null").collect()) == [*range(1, 601), 86399, 86400]
+    assert all(r.second == (None if r.day is None else (r.ts - DAY) // SECOND) for r in found.collect())
+
+
+def test_what_a_run_shares_is_computed_once(spark, sf_dir):
+    """Codes of columns and times of day lie below the expansion, where a run is one row."""
+    from workload import queries
+
+    for name in ("production_base", "energy_seconds", "state_seconds"):
+        plan = queries.QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        spread = next(k for k, x in enumerate(plan) if "Generate posexplode" in x)
+        assert not [x for x in plan[:spread] if "rint(" in x.lower() or "unix_seconds(" in x or "hour(" in x.replace("AS hour", "")]
+
+
 def lookup_case(spark):
     """A third of the rows and of the points belong to one key, many rows repeat one value."""
     rng = random.Random(5)
