@@ -10,6 +10,8 @@ from rotorlake.operators.joins import lookup_join
 
 ROWS_PER_FILE = 100_000
 RELOAD_BACK = 2
+#: Tasks that partitions are dealt to by a hash, at least; many more than a run's days, so that few days meet in one.
+WRITERS = 512
 
 
 def overwrite_partitions(
@@ -37,9 +39,15 @@ def read_partitions(spark: SparkSession, path: str, condition: Column | None = N
 
 
 def write_by_name(df: DataFrame, table: str, keys: list[str]) -> None:
-    """Add rows to a catalog table in its own layout; each partition is written by one task."""
-    columns = df.sparkSession.table(table).columns
-    df.repartition(*keys).select(*columns).write.insertInto(table)
+    """Add rows to a catalog table in its own layout; each partition is written by one task.
+
+    Its files then enter the table with their folder, in one step. The tasks are given, since the adaptive planner would
+    join partitions of few bytes, however many files they are cut into, and since few tasks get several partitions each
+    by chance.
+    """
+    spark = df.sparkSession
+    tasks = max(WRITERS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    df.repartition(tasks, *keys).select(*spark.table(table).columns).write.insertInto(table)
 
 
 def days_present(spark: SparkSession, path: str, key: str) -> DataFrame:

@@ -92,6 +92,21 @@ def test_delimited_table_keeps_values_and_cuts_files(spark, tmp_path):
         spark.sql(f"DROP TABLE {name}")
 
 
+def test_every_partition_has_a_task(spark, tmp_path):
+    """More partitions than shuffle partitions, of few bytes: none waits for another."""
+    schema = T.StructType.fromDDL("a long, d string")
+    create_table(spark, "dealt_table", schema, ["d"], str(tmp_path / "dealt"), ",", rows_per_file=10)
+    rows = spark.range(1205).select(F.col("id").alias("a"), F.when(F.col("id") < 1200, F.concat(F.lit("d"), F.col("id") % 12)).alias("d"))
+    tables.write_by_name(rows, "dealt_table", ["d"])
+    tasks = {p.name: {f.name.split("-")[1] for f in p.glob("*.csv")} for p in (tmp_path / "dealt").glob("d=*")}
+    files = {p.name: len(list(p.glob("*.csv"))) for p in (tmp_path / "dealt").glob("d=*")}
+    assert len(tasks) == 13 and all(len(t) == 1 for t in tasks.values())
+    assert len({t for own in tasks.values() for t in own}) >= 12
+    assert files == {p: 1 if "HIVE" in p else 10 for p in tasks}
+    assert spark.table("dealt_table").count() == 1205
+    spark.sql("DROP TABLE dealt_table")
+
+
 def test_days_to_run(spark):
     at = lambda day, hour: int(dt.datetime(2024, 1, day, hour, tzinfo=dt.timezone.utc).timestamp())
     runs = spark.createDataFrame([(at(5, 3),), (at(5, 12),), (at(5, 12),)], "epoch long")
