@@ -69,6 +69,33 @@ def test_line_numbers_run_over_splits_and_text_is_read_once(spark, tmp_path):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == setting
 
 
+def put_turbines(tmp_path, turbines, rows):
+    """Turbine files with a bad row in some; (rejects by file and line, rows up to the first bad one)."""
+    rejects, kept = [], []
+    for t in range(turbines):
+        bad = {k for k in range(rows) if (k * 7 + t * 13) % 60 == 17 and t % 5}
+        lines = [f"{k},x" if k in bad else f"{k},x,{t * k}" for k in range(rows)]
+        put(tmp_path / f"a/t{t}/20240102/minute/m.csv", "\n".join(["n,note,v", *lines]) + "\n")
+        rejects += [(f"t{t}", k + 1, f"{k},x") for k in sorted(bad)]
+        kept += [f"n:{k},note:x,v:{t * k},site_id:S,wtg_id:W{t}" for k in range(min(bad, default=rows))]
+    return sorted(rejects), sorted(kept)
+
+
+def turbine_ids(spark, turbines):
+    ids = [(f"a/t{t}/20240102/minute", f"W{t}", "S") for t in range(turbines)]
+    return spark.createDataFrame(ids, "folder string, wtg_id string, site_id string")
+
+
+def test_small_splits_make_no_task_and_file_each(spark, tmp_path):
+    rejects, _ = put_turbines(tmp_path, 20, 150)
+    lines = files.numbered_lines(spark, f"{tmp_path}/*/*/*/*/*.csv", split_bytes=100)
+    assert lines.select("file", "block").distinct().count() > 200
+    assert len(lines.inputFiles()) < 60
+    _, found = files.read_header_csv(spark, f"{tmp_path}/*/*/*/*/*.csv", turbine_ids(spark, 20), split_bytes=100)
+    assert sorted((r.file.split("/")[-4], r.line, r.value) for r in found.collect()) == rejects
+    assert len(found.inputFiles()) < 60
+
+
 def test_one_scan_of_several_folders(spark, tmp_path):
     put(tmp_path / "t/ds=1/x.txt", "a\n")
     put(tmp_path / "t/ds=2/x.txt", "b\nc\n")
