@@ -1,12 +1,14 @@
 """Readers and writers on small files."""
 
 import datetime as dt
+import functools
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rotorlake.functions.text import partition_spec
+from rotorlake.operators import joins
 from rotorlake.schemas import create_table
 from rotorlake.session import shared_folder
 from rotorlake.sources import files, relational, tables
@@ -96,6 +98,17 @@ def test_small_splits_make_no_task_and_file_each(spark, tmp_path):
     assert len(found.inputFiles()) < 60
 
 
+@pytest.mark.parametrize("max_bytes", [joins.MAX_BROADCAST_BYTES, 0])
+def test_rows_up_to_the_first_bad_one_of_packed_splits(spark, tmp_path, monkeypatch, max_bytes):
+    monkeypatch.setattr(files, "lookup_join", functools.partial(joins.lookup_join, max_bytes=max_bytes))
+    _, kept = put_turbines(tmp_path, 20, 150)
+    found, _ = files.read_header_csv(spark, f"{tmp_path}/*/*/*/*/*.csv", turbine_ids(spark, 20), True, split_bytes=100)
+    assert sorted(r.all_key_value for r in found.collect()) == kept
+    assert len(found.inputFiles()) < 60
+    # Of a file's splits each is joined by itself: none is copied for the sake of others.
+    assert "_salt" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_one_scan_of_several_folders(spark, tmp_path):
     put(tmp_path / "t/ds=1/x.txt", "a\n")
     put(tmp_path / "t/ds=2/x.txt", "b\nc\n")
