@@ -2,6 +2,7 @@
 
 import datetime as dt
 import functools
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from rotorlake.operators import joins
 from rotorlake.schemas import create_table
 from rotorlake.session import shared_folder
 from rotorlake.sources import files, relational, tables
+from workload import queries
 
 
 def put(path, text):
@@ -235,3 +237,46 @@ def test_shared_folder_follows_the_setting(spark):
     first, second = shared_folder(spark, "a"), shared_folder(spark, "a")
     base = spark.conf.get("spark.checkpoint.dir")
     assert first != second and first.startswith(base) and second.startswith(base)
+
+
+def test_turbine_files_in_the_order_of_events(spark, tmp_path):
+    columns = ["id as event_id", "timestamp_ntz '2024-01-01 00:00:00' + interval '1' minute * id as ts", "id % 230 as user_id", "'view' as event_type", "id / 10 as value", "'' as props"]
+    spark.range(6000).selectExpr(*columns).repartition(7, "event_id").write.parquet(f"{tmp_path}/events.parquet")
+    roots, ids = queries._turbine_files(spark, str(tmp_path), f"{tmp_path}/made")
+    made = [p for root in roots for p in Path(root).rglob("part-*.csv")]
+    assert len(made) == ids.count() == 230
+    folders = {f.parent.relative_to(tmp_path / "made").as_posix().split("/", 1)[1] for f in made}
+    assert folders == {r.folder for r in ids.collect()}
+    for file in made:
+        head, *rows = file.read_text().replace("\0", "").splitlines()
+        place = head.split(",").index("event_id")
+        events = [int(r.split(",")[place]) for r in rows]
+        assert events == sorted(events) and len(events) > 20
+    # All cores make files, however few bytes they hold, and each file takes one folder of its own.
+    tasks = {f.name.split("-")[1] for f in made if "/site0/" not in str(f)}
+    assert len(tasks) >= 2 * spark.sparkContext.defaultParallelism
+    assert len([p for root in roots for p in Path(root).rglob("*") if p.is_dir()]) < 230 + 20
+
+
+def test_small_files_are_read_by_few_tasks(spark, tmp_path, monkeypatch):
+    put_turbines(tmp_path, 60, 20)
+    setting = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(files, "SPLITS_A_TASK", 50)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1m")
+    try:
+        lines = files.stored_lines(spark, str(tmp_path))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", setting)
+    assert lines.count() == 60 * 21 and len(lines.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+
+
+def test_folders_are_read_with_all_below_them(spark, tmp_path):
+    rejects, kept = put_turbines(tmp_path / "x", 6, 40)
+    put(tmp_path / "x/_hidden/b/c/m.csv", "no\n1,2\n")
+    ids = turbine_ids(spark, 6)
+    found = [files.read_header_csv(spark, p, ids, True) for p in (str(tmp_path / "x"), f"{tmp_path}/x/a/*/*/*/*.csv")]
+    for rows, left in found:
+        assert sorted(r.all_key_value for r in rows.collect()) == kept
+        assert sorted((r.file.split("/")[-4], r.line, r.value) for r in left.collect()) == rejects
+    for setting in ("spark.sql.files.maxPartitionNum", "spark.sql.files.openCostInBytes", "spark.sql.sources.parallelPartitionDiscovery.parallelism"):
+        assert spark.conf.get(setting, None) is None
